@@ -34,6 +34,8 @@ def forest(settings: TrainSettings, features: str = INDEXED_FEATURES) -> Estimat
             impurity=settings.impurity,
             bootstrap=settings.bootstrap,
             seed=settings.seed,
+            maxBins=settings.max_bins,
+            maxMemoryInMB=settings.max_memory_mb,
             cacheNodeIds=settings.depth > 10,
         ),
         settings,

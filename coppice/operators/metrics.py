@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coppice.operators.features import attach_names
+from coppice.operators.small import join_on, localised
 
 
 def _judged(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -62,16 +62,22 @@ def confusion_matrix(
     the grid and the cells are both made from the counts. A prediction outside the given classes
     is an error, not a lost row.
     """
-    counts = confusion_counts(df, actual, predicted, by)
+    return matrix_from_counts(confusion_counts(df, actual, predicted, by), classes, by)
+
+
+def matrix_from_counts(
+    counts: DataFrame, classes: Sequence[object] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """The full grid of ``confusion_counts``."""
     if classes is None:
         seen = F.array_union(F.collect_set("actual"), F.collect_set("predicted"))
     else:
         kind = counts.schema["actual"].dataType
         listed = F.array(*[F.lit(c).cast(kind) for c in classes])
-        strange = F.array_except(F.collect_set("predicted"), listed)
-        odd = F.array_union(F.array_except(F.collect_set("actual"), listed), strange)
-        message = F.concat(F.lit("classes outside the list: "), odd.cast("string"))
-        seen = F.when(F.size(odd) == 0, listed).otherwise(F.raise_error(message))
+        found = F.array_union(F.collect_set("actual"), F.collect_set("predicted"))
+        unlisted = F.array_except(found, listed)
+        message = F.concat(F.lit("classes outside the list: "), unlisted.cast("string"))
+        seen = F.when(F.size(unlisted) == 0, listed).otherwise(F.raise_error(message))
     groups = counts.groupBy(*by).agg(seen.alias("_classes"), F.sum("n").alias("_rows"))
     grid = groups.select(*by, "_rows", "_classes", F.explode("_classes").alias("actual")).select(
         *by, "_rows", "actual", F.explode("_classes").alias("predicted")
@@ -86,6 +92,14 @@ def confusion_matrix(
     )
 
 
+def accuracy_from_counts(
+    counts: DataFrame, by: Sequence[str] = (), output: str = "accuracy"
+) -> DataFrame:
+    """The share on the diagonal of ``confusion_counts``."""
+    right = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
+    return counts.groupBy(*by).agg((right / F.sum("n")).alias(output))
+
+
 def confusion_wide(
     matrix: DataFrame, classes: Sequence[object], value: str = "n", by: Sequence[str] = ()
 ) -> DataFrame:
@@ -98,11 +112,12 @@ def confusion_wide(
 
 def confusion_named(matrix: DataFrame, names: DataFrame) -> DataFrame:
     """Add ``actual_name`` and ``predicted_name`` from a ``(label, name)`` table."""
+    names = localised(names)
     for side in ("actual", "predicted"):
         named = names.select(
             F.col("label").alias(side), F.col("name").alias(f"{side}_name")
         )
-        matrix = attach_names(matrix, side, named)
+        matrix = join_on(matrix, named, [side], "left")
     return matrix
 
 

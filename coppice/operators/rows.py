@@ -53,6 +53,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly work on a table that is stored in too few pieces.
+
+    Large tables are read in more pieces than there are cores and come back as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def repeated(df: DataFrame, times: str, partitions: int, chunk: int = COPIES_PER_ROW) -> DataFrame:
     """Every row ``times`` times, the copies spread over the cluster in chunks."""
     columns = [c for c in df.columns if c != times]

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coppice.operators.rows import spread
+
 INPUTS = ["n_chars", "n_words", "distinct_ratio", "nonalpha_ratio"]
 LABEL = "quality"
 KEYS = ["doc_id"]
 
 
-def _ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole == 0, F.lit(0.0)).otherwise(part / whole)
-
-
 def shape_features(documents: DataFrame) -> DataFrame:
     """Four numbers per document, made before any join so that text is never shuffled."""
-    words = F.split("text", r"\s+")
-    other = F.length(F.regexp_replace("text", "[A-Za-z ]", ""))
-    n_words = F.size(words)
-    return documents.select(
+    counted = spread(documents.select("doc_id", "text", "n_chars")).select(
+        "doc_id",
+        F.split("text", r"\s+").alias("words"),
+        F.length(F.regexp_replace("text", "[A-Za-z ]+", "")).alias("n_other"),
+        "n_chars",
+    )
+    # A split has at least one element, an empty one for an empty text.
+    return counted.select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
-        n_words.cast("double").alias("n_words"),
-        _ratio(F.size(F.array_distinct(words)), n_words).alias("distinct_ratio"),
-        _ratio(other, F.col("n_chars")).alias("nonalpha_ratio"),
+        F.size("words").cast("double").alias("n_words"),
+        (F.size(F.array_distinct("words")) / F.size("words")).alias("distinct_ratio"),
+        F.coalesce(F.try_divide("n_other", "n_chars"), F.lit(0.0)).alias("nonalpha_ratio"),
     )
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import takewhile
 
 from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -16,6 +19,7 @@ from coppice.operators import features as feat
 from coppice.operators import metrics
 from coppice.operators.learners import WEIGHT, learner
 from coppice.operators.rows import stable_layout
+from coppice.operators.small import localised
 from coppice.operators.split import hash_split, sides, stratified_split
 from coppice.operators.weights import balanced_weights
 from coppice.settings import TrainSettings
@@ -28,6 +32,7 @@ from coppice.sources.models import (
 )
 from coppice.sources.registry import ModelRegistry, ModelVersion
 from coppice.sources.tables import TableRef
+from coppice.sources.workspace import shared_dir
 
 ACCURACY = "Accuracy"
 
@@ -56,19 +61,27 @@ def fit(
 ) -> PipelineModel:
     """Fit a pipeline on the input columns and label, weighted by class if so set.
 
-    The learners pass over their input many times, so the prepared rows are checkpointed in a
-    fixed layout, or kept by the executors where no layout is asked for.
+    The learners pass over their input many times. Leading stages without a fit, such as text
+    hashing, run once, before the rows are kept; what is kept is checkpointed in a fixed layout, or
+    held by the executors where no layout is asked for.
     """
-    prepared = training.select(*inputs, label)
+    shared_dir(training.sparkSession)
+    ready = list(takewhile(lambda stage: not isinstance(stage, Estimator), stages))
+    columns = [ready[-1].getOutputCol()] if ready else list(inputs)
+    prepared = PipelineModel(ready).transform(training.select(*inputs, label))
+    prepared = prepared.select(*columns, label)
     if settings.class_weight == "balanced":
         prepared = balanced_weights(prepared, label, WEIGHT)
+    pipeline = feat.chain(stages[len(ready) :])
     if settings.fit_partitions:
-        return feat.chain(stages).fit(stable_layout(prepared, settings.fit_partitions))
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return feat.chain(stages).fit(prepared)
-    finally:
-        prepared.unpersist()
+        fitted = pipeline.fit(stable_layout(prepared, settings.fit_partitions))
+    else:
+        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fitted = pipeline.fit(prepared)
+        finally:
+            prepared.unpersist()
+    return PipelineModel([*ready, *fitted.stages])
 
 
 def tabular_pipeline(
@@ -86,8 +99,8 @@ def tabular_pipeline(
 def text_pipeline(text: str, label: str, settings: TrainSettings) -> list[feat.Stage]:
     """Tokens, hashed counts, logistic regression."""
     return [
-        feat.label_indexer(label, settings.label_order, settings.invalid),
         *feat.text_stages(text, settings.text_features),
+        feat.label_indexer(label, settings.label_order, settings.invalid),
         learner("logistic", settings),
     ]
 
@@ -120,10 +133,16 @@ def train(
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """All input columns and the pipeline's own; class scores as arrays, so any format takes them."""
+    """All input columns and the pipeline's own, in types that every table format keeps.
+
+    Vectors become arrays. Hashed text stays sparse, as its stored indices and values.
+    """
     scored = model.transform(df)
-    scores = [c for c in ("rawPrediction", "probability") if c in scored.columns]
-    return scored.withColumns({c: vector_to_array(F.col(c)) for c in scores})
+    hashed = {stage.getOutputCol() for stage in model.stages if isinstance(stage, HashingTF)}
+    vectors = [field.name for field in scored.schema if isinstance(field.dataType, VectorUDT)]
+    return scored.withColumns(
+        {c: F.unwrap_udt(c) if c in hashed else vector_to_array(F.col(c)) for c in vectors}
+    )
 
 
 def truth_and_prediction(scored: DataFrame) -> DataFrame:
@@ -176,19 +195,20 @@ def evaluate(
 ) -> Evaluation:
     """Score the held-out rows unless that is done, then judge every version in the scored table.
 
-    One aggregation covers the whole scoring history. The accuracy is logged under the run of each
-    version; only the counts of the matrix are ever gathered.
+    One aggregation covers the whole scoring history, and all results come from its counts. The
+    accuracy is logged under the run of each version.
     """
     if scoring:
         score(spark, heldout, scored, registry, name, stage)
     history = scored.read(spark).filter(F.col("model_name") == name)
     by = ["model_version"]
-    accuracy = metrics.accuracy(history, actual, predicted, by)
+    counts = localised(metrics.confusion_counts(history, actual, predicted, by))
+    accuracy = metrics.accuracy_from_counts(counts, by)
     registry.log_version_metrics(
         name,
         accuracy.select("model_version", F.lit(ACCURACY).alias("key"), F.col("accuracy").alias("value")),
     )
-    return Evaluation(accuracy, metrics.confusion_matrix(history, actual, predicted, by=by))
+    return Evaluation(accuracy, metrics.matrix_from_counts(counts, by=by))
 
 
 def fit_and_test(

@@ -68,6 +68,17 @@ models AS (
            max(CASE WHEN event_type = 'purchase' THEN event_id END) AS bought_id
     FROM events GROUP BY user_id)"""
 
+SHAPES = rf"""
+shapes AS (
+    SELECT doc_id, quality, n_chars,
+           regexp_split_to_array(text, '{SPACE}+') AS words,
+           length(regexp_replace(text, '[A-Za-z ]', '', 'g')) AS n_other
+    FROM labels JOIN documents USING (doc_id))"""
+SHAPE_COLUMNS = """
+    n_chars::DOUBLE AS n_chars, len(words)::DOUBLE AS n_words,
+    round(len(list_distinct(words)) / len(words), 6) AS distinct_ratio,
+    round(CASE WHEN n_chars = 0 THEN 0 ELSE n_other / n_chars END, 6) AS nonalpha_ratio"""
+
 SCORED = "SELECT doc_id, quality, true AS in_classes, true AS prob_ok FROM flagged WHERE NOT is_train"
 
 ORACLES: dict[str, str] = {
@@ -91,6 +102,13 @@ ORACLES: dict[str, str] = {
     "shuffle_topn": f"""
         SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
         ORDER BY {_hash(42, "o_orderkey")}, o_orderkey LIMIT 100""",
+    "preview": """
+        SELECT o_orderkey, o_totalprice FROM orders
+        ORDER BY o_totalprice DESC, o_orderkey LIMIT 5""",
+    "sort_descending": """
+        SELECT l_returnflag || '-' || l_linestatus AS price_group,
+               max(l_extendedprice) AS top_price
+        FROM lineitem GROUP BY l_returnflag, l_linestatus ORDER BY top_price DESC, price_group""",
     "random_split": f"""
         SELECT o_orderkey, o_orderstatus, {_below(42, "o_orderkey", 0.7)} AS is_train
         FROM orders""",
@@ -220,7 +238,11 @@ ORACLES: dict[str, str] = {
         SELECT lang AS name, 1::BIGINT AS version, min(doc_id)::VARCHAR AS run_id,
                round(avg((quality = guess)::INT), 6) AS value
         FROM judged JOIN documents USING (doc_id) GROUP BY lang""",
+    "quality_features": f"WITH {SHAPES} SELECT doc_id, quality, {SHAPE_COLUMNS} FROM shapes",
     "forest_train_score": f"{HELDOUT} {SCORED}",
+    "scored_display": f"""{HELDOUT}, {SHAPES}
+        SELECT doc_id, flagged.quality::DOUBLE AS "indexedLabel", {SHAPE_COLUMNS}
+        FROM flagged JOIN shapes USING (doc_id) WHERE NOT is_train""",
     "forest_full_options": f"{HELDOUT} {SCORED}",
     "predictions_decoded": f"""{HELDOUT}
         SELECT doc_id, quality, quality AS decoded_truth, true AS in_classes

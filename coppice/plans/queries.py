@@ -19,7 +19,8 @@ from coppice.operators import features as feat
 from coppice.operators import metrics
 from coppice.operators.learners import feature_ranking as ranking_of
 from coppice.operators.learners import learner
-from coppice.operators.rows import first_shuffled, latest_per_key
+from coppice.operators.rows import first_shuffled, latest_per_key, ranked, spread
+from coppice.operators.rows import preview as first_rows
 from coppice.operators.rows import shuffled as shuffled_table
 from coppice.operators.split import hash_split, sides
 from coppice.operators.split import stratified_split as split_by_class
@@ -44,8 +45,8 @@ STAGE = "Staging"
 
 DOCUMENT_FOREST = SMALL_FOREST.but(class_weight="balanced", seed=21, fit_partitions=4)
 DOCUMENT_FULL_FOREST = FULL_FOREST.but(fit_partitions=4)
-DOCUMENT_TEXT = TrainSettings(fit_partitions=4)
-DOCUMENT_LINEAR = TrainSettings(class_weight="balanced", fit_partitions=4)
+DOCUMENT_TEXT = TrainSettings()
+DOCUMENT_LINEAR = TrainSettings(class_weight="balanced")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +113,19 @@ def shuffle_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_shuffled(orders, 100, ["o_orderkey"], seed=42)
 
 
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return first_rows(orders, 5, [F.desc("o_totalprice"), F.asc("o_orderkey")])
+
+
+def sort_descending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        F.max("l_extendedprice").alias("top_price")
+    )
+    group = F.concat_ws("-", "l_returnflag", "l_linestatus").alias("price_group")
+    return ranked(prices.select(group, "top_price"), "top_price", "price_group")
+
+
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return hash_split(orders, ["o_orderkey"], fraction=0.7, seed=42)
@@ -175,7 +189,7 @@ def categorical_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return feat.chain(feat.text_stages("text")).fit(documents).transform(documents)
 
 
@@ -362,6 +376,11 @@ def _shape_table(spark: SparkSession, sf_dir: str) -> TableRef:
     return stored
 
 
+def quality_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = _shape_table(spark, sf_dir).read(spark)
+    return _rounded(shapes, "distinct_ratio", "nonalpha_ratio")
+
+
 def _train_shapes(
     spark: SparkSession, sf_dir: str, settings: TrainSettings
 ) -> tuple[ModelRegistry, TableRef]:
@@ -410,6 +429,15 @@ def forest_full_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", LABEL, _in_classes(), _prob_ok())
 
 
+def scored_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _score_shapes(spark, sf_dir, DOCUMENT_FOREST)
+    shown = scored.select("doc_id", feat.PREDICTION, feat.INDEXED_LABEL, feat.FEATURES)
+    slots = [F.col(feat.FEATURES)[i].alias(name) for i, name in enumerate(INPUTS)]
+    return _rounded(
+        shown.select("doc_id", feat.INDEXED_LABEL, *slots), "distinct_ratio", "nonalpha_ratio"
+    )
+
+
 def _fit_shapes(
     spark: SparkSession, sf_dir: str, settings: TrainSettings
 ) -> tuple[PipelineModel, DataFrame]:
@@ -488,7 +516,8 @@ def evaluate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = labelled_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    texts = labelled_texts(documents, table(spark, sf_dir, "labels"))
     training, rest = sides(jobs.split(texts, LABEL, KEYS, DOCUMENT_TEXT))
     stages = jobs.text_pipeline("text", LABEL, DOCUMENT_TEXT)
     model = jobs.fit(training, ["text"], LABEL, stages, DOCUMENT_TEXT)
@@ -534,6 +563,8 @@ QUERIES: dict[str, Query] = {
     "cast_types": cast_types,
     "shuffle_rows": shuffle_rows,
     "shuffle_topn": shuffle_topn,
+    "preview": preview,
+    "sort_descending": sort_descending,
     "random_split": random_split,
     "default_split": default_split,
     "stratified_split": stratified_split,
@@ -560,7 +591,9 @@ QUERIES: dict[str, Query] = {
     "version_at_stage": version_at_stage,
     "run_params": run_params,
     "run_metrics": run_metrics,
+    "quality_features": quality_features,
     "forest_train_score": forest_train_score,
+    "scored_display": scored_display,
     "forest_full_options": forest_full_options,
     "predictions_decoded": predictions_decoded,
     "model_reload": model_reload,

@@ -40,7 +40,9 @@ class TrainSettings:
     """How to split, prepare and fit.
 
     ``fit_partitions`` fixes the layout the learner sees, and so makes a fit repeatable on any
-    cluster; ``0`` keeps the layout of the input and saves two shuffles.
+    cluster; ``0`` keeps the layout of the input and saves two shuffles. Only the forest draws
+    random numbers by partition. ``max_memory_mb`` bounds the node statistics of one pass: more
+    memory means fewer passes for deep trees or many columns.
     """
 
     fraction: float = 0.7
@@ -60,6 +62,8 @@ class TrainSettings:
     max_iter: int = 10
     reg_param: float = 0.001
     text_features: int = 1 << 18
+    max_bins: int = 32
+    max_memory_mb: int = 256
 
     def __post_init__(self) -> None:
         if not 0.0 < self.fraction < 1.0:
