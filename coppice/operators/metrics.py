@@ -78,7 +78,13 @@ def matrix_from_counts(
         unlisted = F.array_except(found, listed)
         message = F.concat(F.lit("classes outside the list: "), unlisted.cast("string"))
         seen = F.when(F.size(unlisted) == 0, listed).otherwise(F.raise_error(message))
-    groups = counts.groupBy(*by).agg(seen.alias("_classes"), F.sum("n").alias("_rows"))
+    # The filter keeps the counts in both branches, so that they share one aggregation whatever
+    # columns are used later.
+    groups = (
+        counts.groupBy(*by)
+        .agg(seen.alias("_classes"), F.sum("n").alias("_rows"))
+        .filter("_rows > 0")
+    )
     grid = groups.select(*by, "_rows", "_classes", F.explode("_classes").alias("actual")).select(
         *by, "_rows", "actual", F.explode("_classes").alias("predicted")
     )

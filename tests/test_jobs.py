@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from coppice.__main__ import run as run_command
 from coppice.operators import features as feat
 from coppice.operators.learners import feature_ranking, learner
 from coppice.plans import jobs
@@ -237,3 +238,25 @@ def test_scoring_reads_only_what_it_writes(spark, flowers):
     read = plan.split("ReadSchema")[1]
     assert "unused" not in read and "label" not in read
     assert "GreaterThan(id,100)" in plan
+
+
+def test_command_line(spark, flowers):
+    root = scratch_path(spark, "cli")
+    base = ["--registry", f"{root}/registry", "--model", "flowers"]
+
+    def call(*argv):
+        return run_command(spark, [*base, *argv])
+
+    trained = call(
+        *["train", "--source", flowers.path, "--heldout", f"{root}/heldout"],
+        *["--model-root", f"{root}/models", "--inputs", *INPUTS, "--label", "label"],
+        *["--keys", "id", "--set", "numTrees=5", "maxDepth=4", "fit_partitions=2"],
+    )
+    assert trained["version"] == 1
+    call("stage", "--version", "1", "--stage", "Staging")
+    call("score", "--source", flowers.path, "--sink", f"{root}/all", "--stage", "Staging")
+    assert spark.read.parquet(f"{root}/all").count() == 150
+    places = ["--source", f"{root}/heldout", "--sink", f"{root}/scored", "--stage", "Staging"]
+    judged = call("evaluate", *places)
+    assert judged["accuracy"]["1"] > 0.8
+    assert call("evaluate", *places, "--skip-scoring") == judged

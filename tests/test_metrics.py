@@ -125,9 +125,11 @@ def test_groups_are_judged_apart(spark):
     assert all(r["share"] == r["n"] / 2 for r in matrix)
 
 
-def test_table_is_aggregated_once(spark, sf_dir):
+@pytest.mark.parametrize("columns", [["n"], ["share"], ["actual", "predicted", "n", "share"]])
+@pytest.mark.parametrize("classes", [None, [0, 1]])
+def test_table_is_aggregated_once(spark, sf_dir, columns, classes):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    matrix = metrics.confusion_matrix(labels, "quality", "toxic")
+    matrix = metrics.confusion_matrix(labels, "quality", "toxic", classes).select(*columns)
     matrix.collect()
     final = matrix._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final

@@ -7,6 +7,7 @@ from math import floor
 import pytest
 from pyspark.sql import functions as F
 
+from coppice.operators import split
 from coppice.operators.rows import first_shuffled, repeated, shuffled, spread, stable_layout
 from coppice.operators.split import hash_split, native_split, quotas, sides, stratified_split
 
@@ -185,3 +186,11 @@ def test_spread_only_adds_pieces(spark):
     assert spread(spark.range(0, 10, 1, 2)).rdd.getNumPartitions() == 8
     many = spark.range(0, 100, 1, 20)
     assert spread(many) is many
+
+
+@pytest.mark.parametrize("case", ["uneven classes", "hot key, exact copies"])
+def test_many_classes_need_no_broadcast(spark, monkeypatch, case):
+    """Beyond the size bound the class tables stay distributed; the result is the same."""
+    monkeypatch.setattr(split, "localised", lambda df: df)
+    rows = CASES[case]
+    check_split(rows, run_split(spark, rows), 0.7)
