@@ -13,9 +13,18 @@ def split_hash(seed: int, keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def hash_number(hash_hex: Column, digits: int) -> Column:
-    """The leading ``digits`` hex digits of a hash as a bigint."""
-    return F.conv(F.substring(hash_hex, 1, digits), 16, 10).cast("bigint")
+def hash_below(hash_hex: Column, fraction: float) -> Column:
+    """Whether the first 32 bits of a hash fall below a fraction of their range.
+
+    Hex digits of equal case sort like the numbers they stand for, so no number is made.
+    """
+    if not 0.0 < fraction < 1.0:
+        raise ValueError(f"fraction must lie between 0 and 1, not {fraction}")
+    return hash_hex < F.lit(f"{int(fraction * (1 << 32)):08x}")
+
+
+def hash_prefix(hash_hex: Column, digits: int) -> Column:
+    return F.substring(hash_hex, 1, digits)
 
 
 def content_hash(columns: Sequence[str]) -> Column:

@@ -11,13 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coppice.functions.hashing import content_hash, hash_number, split_hash
+from coppice.functions.hashing import content_hash, hash_below, hash_prefix, split_hash
 from coppice.operators.rows import repeated
 from coppice.operators.small import join_on, localised
 from coppice.settings import DEFAULT_FRACTION
 
 BUCKET_DIGITS = 4
-HASH_RANGE = 1 << 32
 
 
 def hash_split(
@@ -28,8 +27,7 @@ def hash_split(
     flag: str = "is_train",
 ) -> DataFrame:
     """Flag rows whose key hash falls below the fraction; rows with equal keys share a side."""
-    limit = int(fraction * HASH_RANGE)
-    return df.withColumn(flag, hash_number(split_hash(seed, keys), 8) < F.lit(limit))
+    return df.withColumn(flag, hash_below(split_hash(seed, keys), fraction))
 
 
 def native_split(df: DataFrame, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +88,7 @@ def _cut_points(rows: DataFrame, buckets: DataFrame, targets: DataFrame) -> Data
     """
     coarse = localised(_crossing(buckets, targets))
     inside = join_on(
-        rows.withColumn("_bucket", hash_number(F.col("_hash"), BUCKET_DIGITS)),
+        rows.withColumn("_bucket", hash_prefix(F.col("_hash"), BUCKET_DIGITS)),
         coarse.select("_class", F.col("_step").alias("_cut_bucket"), "_take"),
         ["_class"],
         "inner",
@@ -102,7 +100,7 @@ def _cut_points(rows: DataFrame, buckets: DataFrame, targets: DataFrame) -> Data
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    return _count_steps(rows, hash_number(F.col("_hash"), BUCKET_DIGITS))
+    return _count_steps(rows, hash_prefix(F.col("_hash"), BUCKET_DIGITS))
 
 
 def stratified_split(
