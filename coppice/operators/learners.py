@@ -49,6 +49,7 @@ def logistic(settings: TrainSettings, features: str = FEATURES) -> Estimator:
             featuresCol=features,
             maxIter=settings.max_iter,
             regParam=settings.reg_param,
+            aggregationDepth=settings.aggregation_depth,
         ),
         settings,
     )
@@ -62,6 +63,7 @@ def linear_svc(settings: TrainSettings, features: str = FEATURES) -> Estimator:
             featuresCol=features,
             maxIter=settings.max_iter,
             regParam=settings.reg_param,
+            aggregationDepth=settings.aggregation_depth,
         ),
         settings,
     )

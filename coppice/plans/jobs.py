@@ -63,24 +63,24 @@ def fit(
 
     The learners pass over their input many times. Leading stages without a fit, such as text
     hashing, run once, before the rows are kept; what is kept is checkpointed in a fixed layout, or
-    held by the executors where no layout is asked for.
+    held by the executors where no layout is asked for. Classes are counted on the kept rows, which
+    spares a scan of the source.
     """
     shared_dir(training.sparkSession)
     ready = list(takewhile(lambda stage: not isinstance(stage, Estimator), stages))
     columns = [ready[-1].getOutputCol()] if ready else list(inputs)
     prepared = PipelineModel(ready).transform(training.select(*inputs, label))
     prepared = prepared.select(*columns, label)
-    if settings.class_weight == "balanced":
-        prepared = balanced_weights(prepared, label, WEIGHT)
-    pipeline = feat.chain(stages[len(ready) :])
     if settings.fit_partitions:
-        fitted = pipeline.fit(stable_layout(prepared, settings.fit_partitions))
+        kept = stable_layout(prepared, settings.fit_partitions)
     else:
-        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            fitted = pipeline.fit(prepared)
-        finally:
-            prepared.unpersist()
+        kept = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        balanced = settings.class_weight == "balanced"
+        rows = balanced_weights(kept, label, WEIGHT) if balanced else kept
+        fitted = feat.chain(stages[len(ready) :]).fit(rows)
+    finally:
+        kept.unpersist()
     return PipelineModel([*ready, *fitted.stages])
 
 
@@ -190,6 +190,7 @@ def evaluate(
     name: str,
     stage: str,
     scoring: bool = True,
+    keep: Sequence[str] | None = None,
     actual: str = feat.INDEXED_LABEL,
     predicted: str = feat.PREDICTION,
 ) -> Evaluation:
@@ -199,7 +200,7 @@ def evaluate(
     accuracy is logged under the run of each version.
     """
     if scoring:
-        score(spark, heldout, scored, registry, name, stage)
+        score(spark, heldout, scored, registry, name, stage, keep=keep)
     history = scored.read(spark).filter(F.col("model_name") == name)
     by = ["model_version"]
     counts = localised(metrics.confusion_counts(history, actual, predicted, by))

@@ -429,15 +429,6 @@ def forest_full_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", LABEL, _in_classes(), _prob_ok())
 
 
-def scored_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _score_shapes(spark, sf_dir, DOCUMENT_FOREST)
-    shown = scored.select("doc_id", feat.PREDICTION, feat.INDEXED_LABEL, feat.FEATURES)
-    slots = [F.col(feat.FEATURES)[i].alias(name) for i, name in enumerate(INPUTS)]
-    return _rounded(
-        shown.select("doc_id", feat.INDEXED_LABEL, *slots), "distinct_ratio", "nonalpha_ratio"
-    )
-
-
 def _fit_shapes(
     spark: SparkSession, sf_dir: str, settings: TrainSettings
 ) -> tuple[PipelineModel, DataFrame]:
@@ -448,6 +439,17 @@ def _fit_shapes(
     return jobs.fit(training, INPUTS, LABEL, stages, settings), rest
 
 
+def scored_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, rest = _fit_shapes(spark, sf_dir, DOCUMENT_FOREST)
+    shown = jobs.predict(model, rest).select(
+        "doc_id", feat.PREDICTION, feat.INDEXED_LABEL, feat.FEATURES
+    )
+    slots = [F.col(feat.FEATURES)[i].alias(name) for i, name in enumerate(INPUTS)]
+    return _rounded(
+        shown.select("doc_id", feat.INDEXED_LABEL, *slots), "distinct_ratio", "nonalpha_ratio"
+    )
+
+
 def predictions_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, rest = _fit_shapes(spark, sf_dir, DOCUMENT_FOREST)
     labels = feat.model_labels(model)

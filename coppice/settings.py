@@ -42,7 +42,9 @@ class TrainSettings:
     ``fit_partitions`` fixes the layout the learner sees, and so makes a fit repeatable on any
     cluster; ``0`` keeps the layout of the input and saves two shuffles. Only the forest draws
     random numbers by partition. ``max_memory_mb`` bounds the node statistics of one pass: more
-    memory means fewer passes for deep trees or many columns.
+    memory means fewer passes for deep trees or many columns. ``aggregation_depth`` is the depth of
+    the tree in which the linear learners add up gradients; over very many partitions or hashed
+    slots take 3 or 4, so that no task gathers too many of them.
     """
 
     fraction: float = 0.7
@@ -64,6 +66,7 @@ class TrainSettings:
     text_features: int = 1 << 18
     max_bins: int = 32
     max_memory_mb: int = 256
+    aggregation_depth: int = 2
 
     def __post_init__(self) -> None:
         if not 0.0 < self.fraction < 1.0:
