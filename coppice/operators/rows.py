@@ -54,9 +54,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly work on a table that is stored in too few pieces.
+    """Use every core for costly work on a stored table that is read in too few pieces.
 
-    Large tables are read in more pieces than there are cores and come back as they are.
+    Large tables are read in more pieces than there are cores and come back as they are. Meant for
+    a scan: counting the pieces of a table behind a shuffle would run the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

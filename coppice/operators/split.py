@@ -15,6 +15,7 @@ from coppice.functions.hashing import content_hash, hash_below, hash_prefix, spl
 from coppice.operators.rows import repeated
 from coppice.operators.small import join_on, localised
 from coppice.settings import DEFAULT_FRACTION
+from coppice.sources.workspace import shared_dir
 
 BUCKET_DIGITS = 4
 
@@ -127,67 +128,69 @@ def stratified_split(
     finally:
         buckets.unpersist()
 
-    tagged = join_on(
-        hashed,
-        cuts.select("_class", F.col("_step").alias("_cut"), "_take", "_n"),
-        ["_class"],
-        "left",
-    )
-    before = F.col("_hash") < F.col("_cut")
-    at_cut = F.col("_hash") == F.col("_cut")
-    whole = F.col("_take") == F.col("_n")
+    tagged = join_on(hashed, _named(cuts, "cut"), ["_class"], "left")
     shared = cuts.filter("_take < _n")
     if shared.isEmpty():
-        return tagged.select(*columns, F.coalesce(before | (at_cut & whole), F.lit(False)).alias(flag))
+        chosen = _taken(F.col("_hash"), "cut")
+        return tagged.select(*columns, F.coalesce(chosen, F.lit(False)).alias(flag))
+    return _split_ties(tagged, shared, columns, flag)
 
-    ties = (
-        tagged.filter(at_cut & ~whole)
-        .select("_class", *columns)
-        .withColumn("_hash", content_hash(columns))
-    )
-    tie_rows = ties.select("_class", "_hash")
-    tie_cuts = _cut_points(
-        tie_rows, _buckets(tie_rows), shared.select("_class", F.col("_take").alias("_target"))
+
+def _named(cuts: DataFrame, name: str) -> DataFrame:
+    return cuts.select(
+        "_class",
+        F.col("_step").alias(f"_{name}"),
+        F.col("_take").alias(f"_{name}_take"),
+        F.col("_n").alias(f"_{name}_n"),
     )
-    settled = tagged.withColumn("_content", F.when(at_cut & ~whole, content_hash(columns)))
+
+
+def _whole(name: str) -> Column:
+    """All rows at the cut are taken."""
+    return F.col(f"_{name}_take") == F.col(f"_{name}_n")
+
+
+def _taken(hash_hex: Column, name: str) -> Column:
+    cut = F.col(f"_{name}")
+    return (hash_hex < cut) | ((hash_hex == cut) & _whole(name))
+
+
+def _split_ties(
+    tagged: DataFrame, shared: DataFrame, columns: Sequence[str], flag: str
+) -> DataFrame:
+    """Finish a split in which ``shared`` cut points fall inside a group of equal key hashes."""
+    spark = tagged.sparkSession
+    tied = (F.col("_hash") == F.col("_cut")) & ~_whole("cut")
+    rows = tagged.filter(tied).select("_class", content_hash(columns).alias("_hash"))
+    targets = shared.select("_class", F.col("_take").alias("_target"))
+    cuts = _cut_points(rows, _buckets(rows), targets)
+
     settled = join_on(
-        settled,
-        tie_cuts.select(
-            "_class",
-            F.col("_step").alias("_tie_cut"),
-            F.col("_take").alias("_tie_take"),
-            F.col("_n").alias("_tie_n"),
-        ),
+        tagged.withColumn("_content", F.when(tied, content_hash(columns))),
+        _named(cuts, "tie"),
         ["_class"],
         "left",
     )
-    in_tie = F.col("_content") < F.col("_tie_cut")
-    at_tie = F.col("_content") == F.col("_tie_cut")
-    whole_tie = F.col("_tie_take") == F.col("_tie_n")
-    chosen = before | (at_cut & (whole | in_tie | (at_tie & whole_tie)))
-    divided = F.coalesce(at_tie & ~whole_tie, F.lit(False))
-    kept = settled.filter(~divided).select(
-        *columns, F.coalesce(chosen, F.lit(False)).alias(flag)
+    chosen = _taken(F.col("_hash"), "cut") | (tied & _taken(F.col("_content"), "tie"))
+    divided = F.coalesce(
+        tied & (F.col("_content") == F.col("_tie")) & ~_whole("tie"), F.lit(False)
     )
-    copies = tie_cuts.filter("_take < _n")
-    if copies.isEmpty():
+    kept = settled.filter(~divided).select(*columns, F.coalesce(chosen, F.lit(False)).alias(flag))
+    if cuts.filter("_take < _n").isEmpty():
         return kept
 
-    models = settled.filter(divided).dropDuplicates(["_class"])
-    sides = models.select(
-        *columns,
-        F.inline(
-            F.array(
-                F.struct(F.lit(True).alias(flag), F.col("_tie_take").alias("_copies")),
-                F.struct(
-                    F.lit(False).alias(flag),
-                    (F.col("_tie_n") - F.col("_tie_take")).alias("_copies"),
-                ),
-            )
-        ),
+    # One row per class stands for its copies; kept in the shared folder, so that later uses of the
+    # split do not look for it again.
+    shared_dir(spark)
+    models = settled.filter(divided).dropDuplicates(["_class"]).checkpoint()
+    numbers = F.array(
+        F.struct(F.lit(True).alias(flag), F.col("_tie_take").alias("_copies")),
+        F.struct(F.lit(False).alias(flag), (F.col("_tie_n") - F.col("_tie_take")).alias("_copies")),
+    )
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return kept.unionByName(
+        repeated(models.select(*columns, F.inline(numbers)), "_copies", partitions)
     )
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return kept.unionByName(repeated(sides, "_copies", parts))
 
 
 def sides(flagged: DataFrame, flag: str = "is_train") -> tuple[DataFrame, DataFrame]:

@@ -118,6 +118,10 @@ ORACLES: dict[str, str] = {
     "stratified_split": f"""
         WITH {_quota_split("customer", "c_mktsegment", "c_custkey")}
         SELECT c_custkey, c_mktsegment, is_train FROM flagged""",
+    "stratified_counts": f"""
+        WITH {_quota_split("lineitem", "l_returnflag", "l_orderkey")}
+        SELECT l_returnflag, quota::BIGINT AS n_train, (n - quota)::BIGINT AS n_heldout
+        FROM quotas JOIN counts USING (l_returnflag)""",
     "heldout_roundtrip": f"""
         SELECT * FROM orders WHERE NOT ({_below(42, "o_orderkey", 0.7)})""",
     "label_index_frequency": """

@@ -141,6 +141,15 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_by_class(customers, "c_mktsegment", ["c_custkey"], fraction=0.7, seed=42)
 
 
+def stratified_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys repeat here, so cut points fall inside groups of rows with one key."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    flagged = split_by_class(items, "l_returnflag", ["l_orderkey"], fraction=0.7, seed=42)
+    return flagged.groupBy("l_returnflag").agg(
+        F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_heldout")
+    )
+
+
 def heldout_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rest = sides(hash_split(table(spark, sf_dir, "orders"), ["o_orderkey"], 0.7, seed=42))
     stored = TableRef(path=scratch_path(spark, "heldout"))
@@ -570,6 +579,7 @@ QUERIES: dict[str, Query] = {
     "random_split": random_split,
     "default_split": default_split,
     "stratified_split": stratified_split,
+    "stratified_counts": stratified_counts,
     "heldout_roundtrip": heldout_roundtrip,
     "label_index_frequency": label_index_frequency,
     "label_index_alpha": label_index_alpha,

@@ -59,7 +59,8 @@ class ModelRegistry:
         rows.write.format(self.fmt).mode("append").save(self._path(table))
 
     def _single(self, **values: object) -> DataFrame:
-        return self.spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+        one = self.spark.range(0, 1, 1, numPartitions=1)
+        return one.select(*[F.lit(v).alias(k) for k, v in values.items()])
 
     # Versions
 

@@ -118,3 +118,9 @@ def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured
     assert scratch_path(spark, "x").startswith(configured)
+
+
+def test_one_file_per_run(spark, registry):
+    for run in ("r1", "r2"):
+        registry.log_run_params(run, {"trees": "12", "depth": "10"})
+    assert len(spark.read.parquet(f"{registry.root}/run_params").inputFiles()) == 2
