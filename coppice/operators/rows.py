@@ -7,31 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coppice.functions.hashing import split_hash
+from coppice.functions.hashing import content_hash, split_hash
 from coppice.sources.workspace import shared_dir
 
 COPIES_PER_ROW = 100_000
 
 
-def shuffled(df: DataFrame, keys: Sequence[str], seed: int, ties: Sequence[str] = ()) -> DataFrame:
-    """Rows in a repeatable random order of their keys, then of ``ties``.
+def _in_random_order(df: DataFrame, keys: Sequence[str], seed: int) -> tuple[DataFrame, list[str]]:
+    """Add sort columns: the seeded key hash, and the content of rows that share a key."""
+    added = {"_order": split_hash(seed, keys), "_content": content_hash(df.columns)}
+    return df.withColumns(added), ["_order", *keys, "_content"]
 
-    The trailing row id orders nothing but exact ties. It lets the range partitioner cut through a
-    key that holds a large share of the rows.
+
+def shuffled(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+    """Rows in a random order that depends on seed and rows only, not on layout.
+
+    A row number as the last sort column lets the range partitioner cut through copies of one row,
+    of which there may be very many. It is given after a local sort, so that a task that runs again
+    numbers its rows as before and loses none.
     """
-    order = ["_order", *keys, *ties, "_row"]
-    tagged = df.withColumns(
-        {"_order": split_hash(seed, keys), "_row": F.monotonically_increasing_id()}
+    tagged, order = _in_random_order(df, keys, seed)
+    numbered = tagged.sortWithinPartitions(*order).withColumn(
+        "_row", F.monotonically_increasing_id()
     )
-    return tagged.orderBy(*order).drop("_order", "_row")
+    return numbered.orderBy(*order, "_row").select(*df.columns)
 
 
-def first_shuffled(
-    df: DataFrame, n: int, keys: Sequence[str], seed: int, ties: Sequence[str] = ()
-) -> DataFrame:
+def first_shuffled(df: DataFrame, n: int, keys: Sequence[str], seed: int) -> DataFrame:
     """The first ``n`` rows of the shuffled order: a top-n per task, no global sort."""
-    order = ["_order", *keys, *ties]
-    return df.withColumn("_order", split_hash(seed, keys)).orderBy(*order).limit(n).drop("_order")
+    tagged, order = _in_random_order(df, keys, seed)
+    return tagged.orderBy(*order).limit(n).select(*df.columns)
 
 
 def preview(df: DataFrame, n: int = 5, order: Sequence[str | Column] = ()) -> DataFrame:
@@ -66,8 +71,9 @@ def spread(df: DataFrame) -> DataFrame:
 def repeated(df: DataFrame, times: str, partitions: int, chunk: int = COPIES_PER_ROW) -> DataFrame:
     """Every row ``times`` times, the copies spread over the cluster in chunks."""
     columns = [c for c in df.columns if c != times]
+    last = F.floor((F.col(times) - 1) / chunk).cast("int")
     chunks = df.filter(F.col(times) > 0).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"cast((`{times}` - 1) div {chunk} as int)")))
+        "_chunk", F.explode(F.sequence(F.lit(0), last))
     )
     # The copies made from one chunk differ in nothing, so only the chunks move.
     spread = chunks.repartition(partitions, "_chunk", *columns)

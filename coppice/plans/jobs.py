@@ -118,7 +118,11 @@ def train(
     settings: TrainSettings,
     stages: Sequence[feat.Stage] | None = None,
 ) -> ModelVersion:
-    """Split, store the held-out rows, fit, store the model and its run, register a version."""
+    """Split, store the held-out rows, fit, store the model and its run, register a version.
+
+    The source is scanned four times, twice for key and label only: write a frame that is costly to
+    make to a table first.
+    """
     table = source.read(spark) if isinstance(source, TableRef) else source
     training, rest = sides(split(table, label, keys, settings))
     heldout.write(rest)
@@ -205,10 +209,8 @@ def evaluate(
     by = ["model_version"]
     counts = localised(metrics.confusion_counts(history, actual, predicted, by))
     accuracy = metrics.accuracy_from_counts(counts, by)
-    registry.log_version_metrics(
-        name,
-        accuracy.select("model_version", F.lit(ACCURACY).alias("key"), F.col("accuracy").alias("value")),
-    )
+    logged = accuracy.withColumnRenamed("accuracy", "value").withColumn("key", F.lit(ACCURACY))
+    registry.log_version_metrics(name, logged)
     return Evaluation(accuracy, metrics.matrix_from_counts(counts, by=by))
 
 

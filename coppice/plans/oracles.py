@@ -79,7 +79,8 @@ SHAPE_COLUMNS = """
     round(len(list_distinct(words)) / len(words), 6) AS distinct_ratio,
     round(CASE WHEN n_chars = 0 THEN 0 ELSE n_other / n_chars END, 6) AS nonalpha_ratio"""
 
-SCORED = "SELECT doc_id, quality, true AS in_classes, true AS prob_ok FROM flagged WHERE NOT is_train"
+SCORED = """
+SELECT doc_id, quality, true AS in_classes, true AS prob_ok FROM flagged WHERE NOT is_train"""
 
 ORACLES: dict[str, str] = {
     "table_scan": "SELECT * FROM orders",

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coppice.functions.columns import cast_columns, class_name, equals_all
@@ -270,10 +270,8 @@ def confusion_named(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .withColumn("name", class_name(F.col("label"), QUALITY_NAMES))
     )
-    return _rounded(
-        metrics.confusion_named(matrix, names).select("actual_name", "predicted_name", "n", "share"),
-        "share",
-    )
+    named = metrics.confusion_named(matrix, names)
+    return _rounded(named.select("actual_name", "predicted_name", "n", "share"), "share")
 
 
 def confusion_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,11 +282,13 @@ def confusion_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = (
-        table(spark, sf_dir, "labels")
-        .join(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
-        .select(F.col("quality").cast("double").alias("label"), F.col("n_chars").cast("double").alias("score"))
+    lengths = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("n_chars").cast("double").alias("score")
     )
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("quality").cast("double").alias("label")
+    )
+    scored = labels.join(lengths, "doc_id")
     area = metrics.roc_auc(scored, "label", "score")
     return spark.range(1).select(F.round(F.lit(area), 6).alias("auc"))
 
@@ -297,7 +297,7 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events").drop("props")
     return latest_per_key(events, ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")])
 
 
@@ -329,10 +329,9 @@ def register_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry, everyone, buyers = _user_models(spark, sf_dir)
-    registry.set_stages(everyone.select("name", F.lit(1).alias("version"), F.lit(STAGE).alias("stage")))
-    registry.set_stages(
-        buyers.select("name", F.lit(1).alias("version"), F.lit("Production").alias("stage"))
-    )
+    first = F.lit(1).alias("version")
+    registry.set_stages(everyone.select("name", first, F.lit(STAGE).alias("stage")))
+    registry.set_stages(buyers.select("name", first, F.lit("Production").alias("stage")))
     return registry.current_stages()
 
 
@@ -419,11 +418,11 @@ def _score_shapes(spark: SparkSession, sf_dir: str, settings: TrainSettings) ->
     return scored.read(spark)
 
 
-def _in_classes() -> object:
+def _in_classes() -> Column:
     return F.col(feat.PREDICTION).isin(0.0, 1.0).alias("in_classes")
 
 
-def _prob_ok() -> object:
+def _prob_ok() -> Column:
     total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
     return (F.abs(total - 1) < 1e-9).alias("prob_ok")
 
@@ -550,7 +549,9 @@ def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def harness(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _harness(spark, sf_dir, "logistic", DOCUMENT_LINEAR)
     codes = jobs.truth_and_prediction(scored.select("doc_id", feat.INDEXED_LABEL, feat.PREDICTION))
-    right = metrics.accuracy(codes, "y_test", "y_pred", by=["y_test"], normalize=False, output="hit")
+    right = metrics.accuracy(
+        codes, "y_test", "y_pred", by=["y_test"], normalize=False, output="hit"
+    )
     counts = codes.groupBy("y_test").agg(F.count(F.lit(1)).alias("n"))
     return counts.join(right, "y_test").select(
         "y_test", "n", F.col("hit").between(0, F.col("n")).alias("hit_ok")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from coppice.__main__ import run as run_command
 from coppice.operators import features as feat
 from coppice.operators.learners import feature_ranking, learner
+from coppice.operators.split import hash_split
 from coppice.plans import jobs
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
 from coppice.sources.models import load_model
@@ -100,6 +101,20 @@ def test_new_data_needs_no_label(spark, flowers):
         jobs.score(spark, short, sink, registry, "flowers", "Production")
 
 
+def test_hash_split_and_a_frame_as_source(spark, flowers):
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    table = flowers.read(spark)
+    _, heldout = run_train(spark, table, registry, SMALL.but(stratified=False))
+    rest = heldout.read(spark)
+    wanted = hash_split(table, ["id"], 0.7, seed=42).filter("NOT is_train").drop("is_train")
+    assert rest.exceptAll(wanted).isEmpty() and wanted.exceptAll(rest).isEmpty()
+    registry.set_stage("flowers", 1, "Staging")
+    judged = TableRef(path=scratch_path(spark, "judged"))
+    keep = ["indexedLabel", "prediction"]
+    jobs.evaluate(spark, heldout, judged, registry, "flowers", "Staging", keep=keep)
+    assert judged.read(spark).columns == [*keep, "model_name", "model_version"]
+
+
 def predictions(model, df):
     return {r["id"]: r["prediction"] for r in model.transform(df).select("id", "prediction").collect()}
 

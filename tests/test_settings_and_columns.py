@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coppice.functions.columns import cast_columns, class_name, equals_all
+from coppice.operators.features import attach_names
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
 
 
@@ -59,3 +60,15 @@ def test_equality_reaches_the_scan(spark, sf_dir):
 def test_cast_columns(spark):
     df = spark.createDataFrame([("1", 2.9)], "a string, b double")
     assert cast_columns(df, {"a": "int", "b": "int"}).first() == (1, 2)
+
+
+def test_names_can_come_from_a_table(spark):
+    df = spark.createDataFrame([(0.0,), (9.0,), (None,)], "label double")
+    names = spark.createDataFrame([(0.0, "setosa"), (1.0, "versicolor")], "label double, name string")
+    named = attach_names(df, "label", names)
+    assert named.columns == ["label", "name"]
+    assert {(r["label"], r["name"]) for r in named.collect()} == {
+        (0.0, "setosa"),
+        (9.0, None),
+        (None, None),
+    }

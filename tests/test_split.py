@@ -148,6 +148,15 @@ def test_shuffled_is_a_repeatable_permutation(spark):
     assert ids != [r["id"] for r in shuffled(df, ["id"], seed=2).collect()]
 
 
+def test_shuffled_orders_rows_with_one_key_by_content(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("key"), F.col("id").alias("x"))
+    first = [tuple(r) for r in shuffled(df, ["key"], seed=1).collect()]
+    assert first == [tuple(r) for r in shuffled(df.repartition(5), ["key"], seed=1).collect()]
+    assert first[:10] == [tuple(r) for r in first_shuffled(df, 10, ["key"], seed=1).collect()]
+    plan = shuffled(df, ["key"], seed=1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and "rangepartitioning" in plan
+
+
 def test_shuffled_cuts_through_a_hot_key(spark):
     df = spark.range(0, 40_000, 1, 4).select(F.lit(5).alias("key"))
     merge = "spark.sql.adaptive.coalescePartitions.enabled"
