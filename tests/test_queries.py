@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from oracle import connect, differences
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = dict(entry.QUERIES)
+ORACLES = dict(entry.ORACLES)
 
 
 @pytest.fixture(scope="module")
