@@ -111,8 +111,47 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM grouped
 """
 
+PREFERENCE = """
+WITH turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text)::INTEGER AS part
+  FROM (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+  )
+), openings AS (
+  SELECT conv_id, role, text FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, part) AS k
+    FROM turns
+  ) WHERE k = 1
+), ranked AS (
+  SELECT conv_id, row_number() OVER (ORDER BY role, text, conv_id) - 1 AS r FROM openings
+), pairs AS (
+  SELECT a.r // 2 AS pair_id, a.conv_id AS chosen_id, b.conv_id AS rejected_id
+  FROM ranked a JOIN ranked b ON b.r = a.r + 1 WHERE a.r % 2 = 0
+), placed AS (
+  SELECT pair_id, chosen_id, rejected_id, side, turn, part, role, text
+  FROM (
+    SELECT *, 'chosen' AS side, chosen_id AS conv_id FROM pairs
+    UNION ALL SELECT *, 'rejected', rejected_id FROM pairs
+  ) JOIN turns USING (conv_id)
+), forks AS (
+  SELECT pair_id, min((coalesce(turn, -9223372036854775808), part)) AS fork FROM (
+    SELECT pair_id, turn, part FROM placed GROUP BY ALL
+    HAVING count(*) < 2 OR count(DISTINCT (role, text)) > 1
+  ) GROUP BY pair_id
+), judged AS (
+  SELECT *, fork IS NULL OR (coalesce(turn, -9223372036854775808), part) < fork AS common
+  FROM placed LEFT JOIN forks USING (pair_id)
+)
+SELECT pair_id, chosen_id, rejected_id, CASE WHEN common THEN 'prompt' ELSE side END AS segment,
+  turn, part, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered,
+  NOT common AND role = 'assistant' AS loss
+FROM judged WHERE NOT common OR side = 'chosen'
+"""
+
 ORACLES: dict[str, str] = {
     "op4_mixing": MIXING,
+    "op5_preference": PREFERENCE,
     "op6_quality_rules": QUALITY,
     "op7_exact_dedup": EXACT_DEDUP,
 }

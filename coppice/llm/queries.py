@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coppice.llm import bpe, exact_dedup, mixing, quality, simhash
+from coppice.llm import (
+    bpe,
+    chunks,
+    exact_dedup,
+    mixing,
+    preference,
+    quality,
+    resampling,
+    simhash,
+    templates,
+    toxicity,
+)
+from coppice.llm.text import stored
+
+#: Added to the share of good labels, so that a good document is rarely dropped.
+MARGIN = 0.03
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,11 +40,25 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extracted(table(spark, sf_dir, "pages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(preference.clean_turns(table(spark, sf_dir, "conversations")), "turns")
+    return preference.preference_rows(turns, preference.pairs_by_opening(turns))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -38,14 +67,35 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.marked_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows labelled good are the target; their share among the labelled, and a bit, is kept."""
+    labels = table(spark, sf_dir, "labels").filter(F.col("quality").isin(0, 1))
+    share = labels.agg(F.avg("quality")).first()[0] or 0.0
+    settings = resampling.ResampleSettings(share=min(1.0, share + MARGIN))
+    good = labels.filter("quality = 1")
+    return resampling.resampled(table(spark, sf_dir, "documents"), good, settings)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    "op1_bpe": op1_bpe,
-    "op4_mixing": op4_mixing,
-    "op6_quality_rules": op6_quality_rules,
-    "op7_exact_dedup": op7_exact_dedup,
-    "op10_simhash": op10_simhash,
+    q.__name__: q
+    for q in (
+        op1_bpe,
+        op2_toxicity,
+        op3_html_extraction,
+        op4_mixing,
+        op5_preference,
+        op6_quality_rules,
+        op7_exact_dedup,
+        op8_substring_dedup,
+        op9_quality_classifier,
+        op10_simhash,
+    )
 }
