@@ -35,6 +35,8 @@ from coppice.llm.text import stored, whole_text
 
 _WORD = re.compile(r"\w+")
 _PREFIXES = (4, 5, 6)
+_CALIBRATION_TASKS = 24
+_WORDS_SEEN = 200_000
 
 
 @dataclass(frozen=True)
@@ -57,24 +59,37 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
 
 
-class Vocabulary(dict):
-    """Numbers of the known terms of each word; words are looked up once and kept."""
+class Vocabulary:
+    """Numbers and idf of the known terms."""
 
     def __init__(self, terms: list[str], idf: list[float]) -> None:
-        super().__init__()
         self.numbers = {t: i for i, t in enumerate(terms)}
+        #: Few words begin like a known term; the others are passed over.
+        self.heads = {t.removesuffix("-")[: _PREFIXES[0]] for t in terms}
         self.idf = np.array(idf, dtype=np.float64)
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
-            self.clear()
-        known = tuple(self.numbers[t] for t in word_terms(word) if t in self.numbers)
-        self[word] = known
-        return known
+        self.seen: dict[str, tuple[int, ...]] = {}
+
+    def known(self, text: str) -> list[str]:
+        """The words that have a known term, in order."""
+        heads, n = self.heads, _PREFIXES[0]
+        likely = [w for w in _WORD.findall(text.lower()) if w[:n] in heads]
+        return [w for w in likely if self._numbers_of(w)]
+
+    def _numbers_of(self, word: str) -> tuple[int, ...]:
+        found = self.seen.get(word)
+        if found is None:
+            if len(self.seen) >= _WORDS_SEEN:
+                self.seen.clear()
+            found = tuple(self.numbers[t] for t in word_terms(word) if t in self.numbers)
+            self.seen[word] = found
+        return found
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"seen": {}}
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights of unit length; (1 + log tf) · idf before scaling."""
-        found = Counter(i for known in map(self.__getitem__, _WORD.findall(text.lower())) for i in known)
+        found = Counter(i for w in self.known(text) for i in self._numbers_of(w))
         terms = np.array(sorted(found), dtype=np.int64)
         tf = np.array([found[i] for i in terms.tolist()], dtype=np.float64)
         weights = (1.0 + np.log(tf)) * self.idf[terms] if len(terms) else tf
@@ -169,10 +184,13 @@ class Model:
         vectors = [vectors[i] for i in order]
         self.index = BlockMaxIndex(vectors, len(terms), settings.block)
         self.prior = float(self.labels.mean()) if n else 0.0
-        own = [self.vote(self.index.nearest(*v, settings.neighbours, i)) for i, v in enumerate(vectors)]
-        self.vocabulary.clear()  # the words seen; the numbers of the terms stay
-        both = 0.0 < self.prior < 1.0
-        self.steps = pooled(np.array(own), self.labels) if both else ([0.0], [self.prior])
+        self.place = {doc_id: i for i, doc_id in reversed(list(enumerate(self.ids)))}
+        self.steps: tuple[list[float], list[float]] = ([0.0], [self.prior])
+
+    def own_vote(self, doc_id: int, text: str) -> float:
+        """The vote on an example when it is left out."""
+        vector = self.vocabulary.vector(text)
+        return self.vote(self.index.nearest(*vector, self.settings.neighbours, self.place[doc_id]))
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Share of label 1 by similarity; the prior has the weight of a distant neighbour."""
@@ -242,20 +260,32 @@ def fitted(
     examples = _examples(docs, labels, settings)
     terms = _terms(examples, settings)
     known = Vocabulary([t for t, _ in terms], [1.0] * len(terms))
+    schema = "doc_id long, text string, toxic int"
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shorten(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                " ".join(w for w in _WORD.findall(t.as_py().lower()) if known[w])
-                for t in batch.column(1)
-            ]
+            texts = [" ".join(known.known(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()), batch.column(2)],
                 ["doc_id", "text", "toxic"],
             )
 
-    slim = with_package(examples).mapInArrow(run, "doc_id long, text string, toxic int")
-    return Model([tuple(r) for r in slim.collect()], terms, settings)
+    slim = stored(with_package(examples).mapInArrow(shorten, schema), "example-words")
+    model = Model([tuple(r) for r in slim.collect()], terms, settings)
+
+    def leave_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(0), batch.column(1), strict=True)
+            votes = [model.own_vote(d.as_py(), t.as_py()) for d, t in pairs]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(votes, pa.float64()), batch.column(2)], ["vote", "toxic"]
+            )
+
+    if 0.0 < model.prior < 1.0:
+        dealt = slim.repartition(_CALIBRATION_TASKS, "doc_id")
+        votes = dealt.mapInArrow(leave_out, "vote double, toxic int").toPandas()
+        model.steps = pooled(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
+    return model
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
