@@ -67,7 +67,10 @@ def boundaries(data: bytes, gear: np.ndarray, settings: ChunkSettings) -> list[i
 
 
 def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
-    """``(doc_id, row, start, n_bytes, digest)``: every chunk; offsets count UTF-8 bytes."""
+    """``(doc_id, row, start, n_bytes, high, low)``: every chunk with the halves of its digest.
+
+    Offsets count UTF-8 bytes.
+    """
     gear = gear_table(settings.gear_seed)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,15 +90,17 @@ def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataF
                 rows += [row] * len(ends)
                 starts += begins
                 sizes += [b - a for a, b in zip(begins, ends, strict=True)]
+            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(rows, pa.int64()),
                     pa.array(starts, pa.int32()),
                     pa.array(sizes, pa.int32()),
-                    pa.array(digests, pa.binary()),
+                    pa.array(halves[:, 0], pa.int64()),
+                    pa.array(halves[:, 1], pa.int64()),
                 ],
-                ["doc_id", "row", "start", "n_bytes", "digest"],
+                ["doc_id", "row", "start", "n_bytes", "high", "low"],
             )
 
     slim = docs.filter(F.col("doc_id").isNotNull()).select(
@@ -103,7 +108,7 @@ def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataF
         F.monotonically_increasing_id().alias("row"),
         F.col("text").cast("string").alias("text"),
     )
-    schema = "doc_id long, row long, start int, n_bytes int, digest binary"
+    schema = "doc_id long, row long, start int, n_bytes int, high long, low long"
     return with_package(slim).mapInArrow(run, schema)
 
 
@@ -113,18 +118,23 @@ def shared_chunks(chunks: DataFrame, salts: int = SALTS) -> DataFrame:
     Counted per task before anything moves; a chunk that very many rows share is joined in as many
     parts as it has salts.
     """
-    salted = chunks.withColumn("_salt", salt(salts))
     firsts = (
-        salted.groupBy("digest")
+        chunks.withColumn("_salt", salt(salts))
+        .groupBy("high", "low")
         .agg(
             F.min("doc_id").alias("first_doc_id"),
             F.max("doc_id").alias("_last"),
             salts_seen("_salt").alias("_salts"),
         )
         .filter(F.col("first_doc_id") < F.col("_last"))
-        .select("digest", "first_doc_id", each_salt("_salts", salts).alias("_salt"))
+        .select("high", "low", "first_doc_id", each_salt("_salts", salts).alias("_salt"))
     )
-    return salted.join(firsts, ["digest", "_salt"]).drop("_salt")
+    # The salt goes into the digest: one column less in the rows that move.
+    salted_low = F.col("low").bitwiseXOR(F.col("_salt").cast("long")).alias("low")
+    placed = firsts.select("high", salted_low, "first_doc_id")
+    kept = [F.col(c) for c in ("doc_id", "row", "start", "n_bytes", "high")]
+    spread = chunks.withColumn("_salt", salt(salts)).select(*kept, salted_low)
+    return spread.join(placed, ["high", "low"]).drop("high", "low")
 
 
 def repeated_passages(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
