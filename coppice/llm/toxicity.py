@@ -100,55 +100,49 @@ class BlockMaxIndex:
     """Inverted lists over blocks of examples, with the largest weight of each term per block."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int) -> None:
-        self.size, self.block = len(vectors), block
-        self.blocks = -(-self.size // block)
-        lengths = [len(t) for t, _ in vectors]
-        term = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, dtype=np.int64)
-        weight = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        example = np.repeat(np.arange(self.size), lengths)
-        order = np.lexsort((example, term))
-        self.term, self.example, self.weight = term[order], example[order], weight[order]
-        # A run is the postings of one term in one block.
-        key = self.term * max(1, self.blocks) + self.example // block
-        self.run_at = np.flatnonzero(np.diff(key, prepend=-1))
-        self.run_block = self.example[self.run_at] // block
-        self.run_end = np.append(self.run_at[1:], len(key))
-        self.run_max = np.maximum.reduceat(self.weight, self.run_at) if len(key) else self.weight
-        self.runs_of = np.searchsorted(self.term[self.run_at], np.arange(terms + 1))
+        self.block, self.terms = block, terms
+        self.blocks = -(-len(vectors) // block)
+        none = np.empty(0, dtype=np.int64)
+        term = np.concatenate([none, *[t for t, _ in vectors]])
+        weight = np.concatenate([np.empty(0), *[w for _, w in vectors]])
+        example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+        # Postings by block, then term; a run is the postings of one term in one block.
+        order = np.lexsort((example, term, example // block))
+        self.term, self.weight = term[order], weight[order]
+        self.local = example[order] % block
+        in_block = example[order] // block
+        self.block_at = np.searchsorted(in_block, np.arange(self.blocks + 1))
+        runs = np.flatnonzero(np.diff(in_block * max(1, terms) + self.term, prepend=-1))
+        self.run_term, self.run_block = self.term[runs], in_block[runs]
+        self.run_max = np.maximum.reduceat(self.weight, runs) if len(runs) else self.weight
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1
     ) -> list[tuple[float, int]]:
         """Up to ``k`` pairs of positive cosine and example, best first, ties by example."""
-        if not len(terms):
+        if not len(terms) or not len(self.term):
             return []
-        runs = np.concatenate(
-            [np.arange(self.runs_of[t], self.runs_of[t + 1]) for t in terms.tolist()]
-        )
-        scale = np.repeat(weights, self.runs_of[terms + 1] - self.runs_of[terms])
-        bounds = np.bincount(self.run_block[runs], scale * self.run_max[runs], self.blocks)
-        best: list[tuple[float, int]] = []
-        by_block = np.argsort(self.run_block[runs], kind="stable")
-        runs, scale = runs[by_block], scale[by_block]
-        edges = np.searchsorted(self.run_block[runs], np.arange(self.blocks + 1))
+        query = np.zeros(self.terms)
+        query[terms] = weights
+        bounds = np.bincount(self.run_block, query[self.run_term] * self.run_max, self.blocks)
+        cosines, found = np.empty(0), np.empty(0, dtype=np.int64)
         for b in np.argsort(-bounds, kind="stable").tolist():
-            least = best[k - 1][0] if len(best) >= k else 0.0
+            least = cosines[k - 1] if len(cosines) >= k else 0.0
             # Sums in another order may differ in the last bits, so equal bounds are looked into.
             if bounds[b] <= 0.0 or bounds[b] * (1 + 1e-9) < least:
                 break
-            scores = np.zeros(self.block)
-            for r, s in zip(
-                runs[edges[b] : edges[b + 1]].tolist(), scale[edges[b] : edges[b + 1]], strict=True
-            ):
-                at = slice(self.run_at[r], self.run_end[r])
-                scores[self.example[at] - b * self.block] += s * self.weight[at]
-            if 0 <= skip - b * self.block < self.block:
-                scores[skip - b * self.block] = 0.0
+            at = slice(self.block_at[b], self.block_at[b + 1])
+            scores = np.bincount(
+                self.local[at], self.weight[at] * query[self.term[at]], self.block
+            )
+            if skip // self.block == b:
+                scores[skip % self.block] = 0.0
             hits = np.flatnonzero((scores > 0.0) & (scores >= least))
-            best += [(float(scores[h]), b * self.block + int(h)) for h in hits]
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[k:]
-        return best
+            cosines = np.concatenate([cosines, scores[hits]])
+            found = np.concatenate([found, hits + b * self.block])
+            best = np.lexsort((found, -cosines))[:k]
+            cosines, found = cosines[best], found[best]
+        return list(zip(cosines.tolist(), found.tolist(), strict=True))
 
 
 def pooled(votes: np.ndarray, labels: np.ndarray) -> tuple[list[float], list[float]]:
