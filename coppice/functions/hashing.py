@@ -28,11 +28,11 @@ def hash_prefix(hash_hex: Column, digits: int) -> Column:
 
 
 def content_hash(columns: Sequence[str]) -> Column:
-    """128-bit hex hash over whole rows.
-
-    The hash function skips nulls, so each column also adds its null flag: ``(1, null)`` and
-    ``(null, 1)`` must differ.
-    """
-    parts = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
-    halves = [F.xxhash64(F.lit(salt), *parts) for salt in (0, 1)]
-    return F.concat(*[F.lpad(F.hex(half), 16, "0") for half in halves])
+    """SHA-256 over whole rows as text that tells nulls, also inner ones, and microseconds apart."""
+    options = {
+        "ignoreNullFields": "false",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    fields = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+    return F.sha2(F.to_json(F.struct(*fields), options), 256)

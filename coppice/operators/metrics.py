@@ -109,7 +109,18 @@ def accuracy_from_counts(
 def confusion_wide(
     matrix: DataFrame, classes: Sequence[object], value: str = "n", by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per true class and one column per predicted class, ``pred_<class>``."""
+    """One row per true class and one column per predicted class, ``pred_<class>``.
+
+    A prediction outside the given classes is an error, not a lost count.
+    """
+    kind = matrix.schema["predicted"].dataType
+    listed = F.col("predicted").isin(*[F.lit(c).cast(kind) for c in classes])
+    message = F.concat(F.lit("class outside the list: "), F.col("predicted").cast("string"))
+    matrix = matrix.withColumn(
+        value, F.when(listed | (F.col(value) == 0), F.col(value)).otherwise(F.raise_error(message))
+    )
+    # Without a list of columns to make, so that no row is left out before it is looked at.
+    matrix = matrix.filter(F.col(value).isNotNull())
     wide = matrix.groupBy(*by, "actual").pivot("predicted", list(classes)).agg(F.first(value))
     return wide.select(
         *by, "actual", *[F.col(f"`{c}`").alias(f"pred_{c}") for c in classes]
@@ -134,4 +145,4 @@ def roc_auc(df: DataFrame, label: str, score: str, weight: str | None = None) ->
     )
     if weight is not None:
         evaluator.setWeightCol(weight)
-    return evaluator.evaluate(df)
+    return evaluator.evaluate(_judged(df, label, score))

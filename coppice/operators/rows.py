@@ -58,52 +58,45 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly work on a stored table that is read in too few pieces.
-
-    Large tables are read in more pieces than there are cores and come back as they are. Meant for
-    a scan: counting the pieces of a table behind a shuffle would run the shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def repeated(df: DataFrame, times: str, partitions: int, chunk: int = COPIES_PER_ROW) -> DataFrame:
-    """Every row ``times`` times, the copies spread over the cluster in chunks."""
+def _chunks(df: DataFrame, times: str, partitions: int, chunk: int) -> DataFrame:
+    """One row per ``chunk`` copies, placed by chunk number and content."""
     columns = [c for c in df.columns if c != times]
     last = F.floor((F.col(times) - 1) / chunk).cast("int")
-    chunks = df.filter(F.col(times) > 0).withColumn(
+    numbered = df.filter(F.col(times) > 0).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), last))
     )
-    # The copies made from one chunk differ in nothing, so only the chunks move.
-    spread = chunks.repartition(partitions, "_chunk", *columns)
+    return numbered.repartition(partitions, "_chunk", content_hash(columns))
+
+
+def _grown(chunks: DataFrame, times: str, chunk: int) -> DataFrame:
+    """The copies of every chunk, where the chunk lies."""
+    columns = [c for c in chunks.columns if c not in (times, "_chunk")]
     size = F.least(F.lit(chunk), F.col(times) - F.col("_chunk") * chunk).cast("int")
-    return spread.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), size))).select(*columns)
+    return chunks.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), size))).select(*columns)
+
+
+def repeated(df: DataFrame, times: str, partitions: int, chunk: int = COPIES_PER_ROW) -> DataFrame:
+    """Every row ``times`` times, the copies spread over the cluster in chunks.
+
+    The copies made from one chunk differ in nothing, so only the chunks move.
+    """
+    return _grown(_chunks(df, times, partitions, chunk), times, chunk)
 
 
 def stable_layout(df: DataFrame, partitions: int, chunk: int = COPIES_PER_ROW) -> DataFrame:
     """The same rows in the same partitions and order, however ``df`` was laid out.
 
     Rows are placed by their whole content, so a key with many different rows spreads out. Copies
-    are counted before they move and grown again afterwards; a row with more than ``chunk`` copies
-    is spread over many partitions. The placed rows are checkpointed: a lost executor costs a read,
-    not a new shuffle, and later passes see the same order.
+    are counted before they move, placed in chunks, and grown again afterwards. The placed chunks are
+    checkpointed: a lost executor costs a read, not a new shuffle, and later passes see the same
+    order.
     """
     shared_dir(df.sparkSession)
     columns = df.columns
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     placed = (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .repartition(partitions, *columns)
-        .sortWithinPartitions(*columns)
+        _chunks(counted, "_copies", partitions, chunk)
+        .sortWithinPartitions(*columns, "_chunk")
         .checkpoint()
     )
-    few = placed.filter(F.col("_copies") <= chunk)
-    grown = few.withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int")))
-    ).select(*columns)
-    many = placed.filter(F.col("_copies") > chunk)
-    if many.isEmpty():
-        return grown
-    hot = repeated(many, "_copies", partitions, chunk).sortWithinPartitions(*columns)
-    return grown.unionByName(hot)
+    return _grown(placed, "_copies", chunk)

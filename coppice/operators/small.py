@@ -7,25 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LOCAL_ROWS = 10_000
+from coppice.sources.workspace import scratch_path
 
 
-def localised(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
-    """Compute ``df`` once and keep it as a local relation if it has at most ``max_rows`` rows.
+def localised(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once: written to the shared folder and read back, whatever its size.
 
-    A local relation has an exact size, so Catalyst broadcasts it by its own threshold. A larger
-    table comes back unchanged.
+    The files tell Catalyst the exact size, by which it broadcasts the table or shuffles it.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(table, schema=df.schema)
+    path = scratch_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_on(big: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join that also matches null keys; keeps one copy of the key columns.
 
-    No hint is given: a localised side is broadcast, any other is shuffled with adaptive skew
+    No hint is given: Catalyst broadcasts a side by its size, or shuffles with adaptive skew
     splitting.
     """
     renamed = side.select(

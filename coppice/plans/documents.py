@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coppice.operators.rows import spread
+from coppice.operators.features import FEATURES
 
 INPUTS = ["n_chars", "n_words", "distinct_ratio", "nonalpha_ratio"]
 LABEL = "quality"
@@ -14,7 +15,7 @@ KEYS = ["doc_id"]
 
 def shape_features(documents: DataFrame) -> DataFrame:
     """Four numbers per document, made before any join so that text is never shuffled."""
-    counted = spread(documents.select("doc_id", "text", "n_chars")).select(
+    counted = documents.select(
         "doc_id",
         F.split("text", r"\s+").alias("words"),
         F.length(F.regexp_replace("text", "[A-Za-z ]+", "")).alias("n_other"),
@@ -34,5 +35,7 @@ def labelled_shapes(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", LABEL).join(shape_features(documents), "doc_id")
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    return labels.select("doc_id", LABEL).join(documents.select("doc_id", "text"), "doc_id")
+def labelled_hashes(documents: DataFrame, labels: DataFrame, hashing: PipelineModel) -> DataFrame:
+    """Hashed counts of the labelled texts, made before the join so that text is never shuffled."""
+    counted = hashing.transform(documents.select("doc_id", "text")).select("doc_id", FEATURES)
+    return labels.select("doc_id", LABEL).join(counted, "doc_id")

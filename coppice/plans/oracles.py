@@ -246,7 +246,7 @@ ORACLES: dict[str, str] = {
     "quality_features": f"WITH {SHAPES} SELECT doc_id, quality, {SHAPE_COLUMNS} FROM shapes",
     "forest_train_score": f"{HELDOUT} {SCORED}",
     "scored_display": f"""{HELDOUT}, {SHAPES}
-        SELECT doc_id, flagged.quality::DOUBLE AS "indexedLabel", {SHAPE_COLUMNS}
+        SELECT doc_id, flagged.quality::DOUBLE AS "indexedLabel", true AS in_classes, {SHAPE_COLUMNS}
         FROM flagged JOIN shapes USING (doc_id) WHERE NOT is_train""",
     "forest_full_options": f"{HELDOUT} {SCORED}",
     "predictions_decoded": f"""{HELDOUT}

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +19,14 @@ from coppice.operators import features as feat
 from coppice.operators import metrics
 from coppice.operators.learners import feature_ranking as ranking_of
 from coppice.operators.learners import learner
-from coppice.operators.rows import first_shuffled, latest_per_key, ranked, spread
+from coppice.operators.rows import first_shuffled, latest_per_key, ranked
 from coppice.operators.rows import preview as first_rows
 from coppice.operators.rows import shuffled as shuffled_table
 from coppice.operators.split import hash_split, sides
 from coppice.operators.split import stratified_split as split_by_class
 from coppice.operators.weights import balanced_weights as with_balanced_weights
 from coppice.plans import jobs
-from coppice.plans.documents import INPUTS, KEYS, LABEL, labelled_shapes, labelled_texts
+from coppice.plans.documents import INPUTS, KEYS, LABEL, labelled_hashes, labelled_shapes
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
 from coppice.sources.models import load_model, save_model
 from coppice.sources.registry import ModelRegistry
@@ -43,8 +43,8 @@ MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 MODEL = "document-quality"
 STAGE = "Staging"
 
-DOCUMENT_FOREST = SMALL_FOREST.but(class_weight="balanced", seed=21, fit_partitions=4)
-DOCUMENT_FULL_FOREST = FULL_FOREST.but(fit_partitions=4)
+DOCUMENT_FOREST = SMALL_FOREST.but(class_weight="balanced", seed=21)
+DOCUMENT_FULL_FOREST = FULL_FOREST
 DOCUMENT_TEXT = TrainSettings()
 DOCUMENT_LINEAR = TrainSettings(class_weight="balanced")
 
@@ -198,7 +198,7 @@ def categorical_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return feat.chain(feat.text_stages("text")).fit(documents).transform(documents)
 
 
@@ -454,7 +454,9 @@ def scored_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     slots = [F.col(feat.FEATURES)[i].alias(name) for i, name in enumerate(INPUTS)]
     return _rounded(
-        shown.select("doc_id", feat.INDEXED_LABEL, *slots), "distinct_ratio", "nonalpha_ratio"
+        shown.select("doc_id", feat.INDEXED_LABEL, _in_classes(), *slots),
+        "distinct_ratio",
+        "nonalpha_ratio",
     )
 
 
@@ -526,11 +528,15 @@ def evaluate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    texts = labelled_texts(documents, table(spark, sf_dir, "labels"))
-    training, rest = sides(jobs.split(texts, LABEL, KEYS, DOCUMENT_TEXT))
+    """The text is hashed before the join; the narrow table is written once, then split and fitted."""
     stages = jobs.text_pipeline("text", LABEL, DOCUMENT_TEXT)
-    model = jobs.fit(training, ["text"], LABEL, stages, DOCUMENT_TEXT)
+    hashing = PipelineModel([s for s in stages if not isinstance(s, Estimator)])
+    learning = [s for s in stages if isinstance(s, Estimator)]
+    documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    ref = TableRef(path=scratch_path(spark, "hashed"))
+    ref.write(labelled_hashes(documents, labels, hashing))
+    training, rest = sides(jobs.split(ref.read(spark), LABEL, KEYS, DOCUMENT_TEXT))
+    model = jobs.fit(training, [feat.FEATURES], LABEL, learning, DOCUMENT_TEXT)
     return jobs.predict(model, rest).select("doc_id", LABEL, _in_classes(), _prob_ok())
 
 

@@ -19,8 +19,8 @@ from coppice.operators.rows import latest_per_key
 SCHEMAS = {
     "model_versions": "name string, version bigint, run_id string, source string",
     "model_stages": "name string, version bigint, stage string, seq bigint",
-    "run_params": "run_id string, key string, value string, logged_at timestamp",
-    "run_metrics": "run_id string, key string, value double, logged_at timestamp",
+    "run_params": "run_id string, key string, value string, seq bigint",
+    "run_metrics": "run_id string, key string, value double, seq bigint",
 }
 
 
@@ -148,16 +148,8 @@ class ModelRegistry:
     # Runs
 
     def log_params(self, params: DataFrame) -> None:
-        """Append ``params(run_id, key, value)``."""
-        self._append(
-            "run_params",
-            params.select(
-                "run_id",
-                "key",
-                F.col("value").cast("string").alias("value"),
-                F.current_timestamp().alias("logged_at"),
-            ),
-        )
+        """Append ``params(run_id, key, value)``; a key given twice for a run is an error."""
+        self._log("run_params", params, "string")
 
     def log_run_params(self, run_id: str, params: Mapping[str, str]) -> None:
         pairs = F.array(
@@ -166,14 +158,25 @@ class ModelRegistry:
         self.log_params(self._single(run_id=run_id).select("run_id", F.inline(pairs)))
 
     def log_metrics(self, metrics: DataFrame) -> None:
-        """Append ``metrics(run_id, key, value)``."""
+        """Append ``metrics(run_id, key, value)``; a key given twice for a run is an error."""
+        self._log("run_metrics", metrics, "double")
+
+    def _log(self, table: str, values: DataFrame, kind: str) -> None:
+        """Append values, numbered behind the earlier ones of their run and key."""
+        key = ["run_id", "key"]
+        once = F.when(F.col("_given") == 1, F.col("value")).otherwise(
+            F.raise_error(F.concat(F.lit("logged twice in one call: "), "key")).cast(kind)
+        )
+        batch = (
+            values.select(*key, F.col("value").cast(kind).alias("value"))
+            .groupBy(*key)
+            .agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("_given"))
+        )
+        last = self._read(table).groupBy(*key).agg(F.max("seq").alias("_last"))
         self._append(
-            "run_metrics",
-            metrics.select(
-                "run_id",
-                "key",
-                F.col("value").cast("double").alias("value"),
-                F.current_timestamp().alias("logged_at"),
+            table,
+            batch.join(last, key, "left").select(
+                *key, once.alias("value"), (F.coalesce("_last", F.lit(0)) + 1).alias("seq")
             ),
         )
 
@@ -192,8 +195,7 @@ class ModelRegistry:
         return self._last_logged("run_metrics")
 
     def _last_logged(self, table: str) -> DataFrame:
-        order = [F.desc("logged_at"), F.desc("value")]
-        return latest_per_key(self._read(table), ["run_id", "key"], order).drop("logged_at")
+        return latest_per_key(self._read(table), ["run_id", "key"], [F.desc("seq")]).drop("seq")
 
     def leaderboard(self, key: str, columns: Sequence[str] = ("name", "version")) -> DataFrame:
         """Versions with their last value of one metric."""

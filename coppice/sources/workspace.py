@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+_LOCAL = re.compile(r"local(\[[^\]]*\])?")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``, also set as the checkpoint directory.
 
@@ -18,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current is None:
-        if configured is None and not context.master.startswith("local"):
+        if configured is None and not _LOCAL.fullmatch(context.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="coppice-"))
         current = context.getCheckpointDir()

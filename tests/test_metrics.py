@@ -146,3 +146,19 @@ def test_weighted_accuracy(spark):
 def test_roc_auc_counts_ties_half(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)], "y double, s double")
     assert metrics.roc_auc(df, "y", "s") == pytest.approx(3.5 / 4)
+
+
+def test_wide_matrix_refuses_classes_outside_the_list(spark):
+    cells = spark.createDataFrame(
+        [(0, 0, 2), (0, 2, 1), (1, 1, 1)], "actual int, predicted int, n long"
+    )
+    with pytest.raises(Exception, match="class outside the list: 2"):
+        metrics.confusion_wide(cells, [0, 1]).collect()
+    wide = metrics.confusion_wide(cells, [0, 1, 2]).orderBy("actual").collect()
+    assert [r["pred_2"] for r in wide] == [1, None]
+
+
+def test_auc_passes_over_nulls(spark):
+    rows = [(1.0, 0.9), (0.0, 0.1), (None, 0.5), (1.0, None)]
+    df = spark.createDataFrame(rows, "label double, score double")
+    assert metrics.roc_auc(df, "label", "score") == 1.0

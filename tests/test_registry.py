@@ -124,3 +124,20 @@ def test_one_file_per_run(spark, registry):
     for run in ("r1", "r2"):
         registry.log_run_params(run, {"trees": "12", "depth": "10"})
     assert len(spark.read.parquet(f"{registry.root}/run_params").inputFiles()) == 2
+
+
+def test_a_key_given_twice_for_a_run_is_refused(spark, tmp_path):
+    registry = ModelRegistry(spark, str(tmp_path / "twice"))
+    twice = spark.createDataFrame([("r", "k", 1.0), ("r", "k", 2.0)], "run_id string, key string, value double")
+    for log in (registry.log_params, registry.log_metrics):
+        with pytest.raises(Exception, match="logged twice in one call: k"):
+            log(twice)
+
+
+def test_the_last_logged_value_wins_whatever_the_clock_says(spark, tmp_path):
+    registry = ModelRegistry(spark, str(tmp_path / "last"))
+    for value in (3.0, 9.0, 1.0):
+        registry.log_metrics(
+            spark.createDataFrame([("r", "k", value)], "run_id string, key string, value double")
+        )
+    assert [r["value"] for r in registry.metrics().collect()] == [1.0]

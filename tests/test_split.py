@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coppice.operators import split
-from coppice.operators.rows import first_shuffled, repeated, shuffled, spread, stable_layout
+from coppice.operators.rows import first_shuffled, repeated, shuffled, stable_layout
 from coppice.operators.split import hash_split, native_split, quotas, sides, stratified_split
 
 
@@ -191,15 +191,26 @@ def test_stable_layout_ignores_input_layout(spark):
     assert max(Counter(r["x"] for r in p)[0] for p in first) < 1000
 
 
-def test_spread_only_adds_pieces(spark):
-    assert spread(spark.range(0, 10, 1, 2)).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 20)
-    assert spread(many) is many
-
-
 @pytest.mark.parametrize("case", ["uneven classes", "hot key, exact copies"])
 def test_many_classes_need_no_broadcast(spark, monkeypatch, case):
     """Beyond the size bound the class tables stay distributed; the result is the same."""
     monkeypatch.setattr(split, "localised", lambda df: df)
     rows = CASES[case]
     check_split(rows, run_split(spark, rows), 0.7)
+
+
+def test_inner_nulls_maps_and_signed_zeros_stay_as_they_are(spark):
+    """Rows that share a key at the cut differ in nested values only; none may replace another."""
+    parts = [
+        spark.range(20).selectExpr("1 as k", "'c' as label", value, sign)
+        for value in ("array(1, null) as a", "array(null, 1) as a")
+        for sign in ("map('x', 0.0D) as m", "map('x', -0.0D) as m")
+    ]
+    df = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    flagged = split.stratified_split(df, "label", ["k"], 0.6)
+    assert flagged.filter("is_train").count() == 48
+
+    def shapes(rows):
+        return Counter((str(r["a"]), str(r["m"])) for r in rows.collect())
+
+    assert shapes(flagged) == shapes(df)
