@@ -46,7 +46,7 @@ RULES: tuple[Rule, ...] = (
     Rule("word_length", "word_chars", "n_words", at_least=2.0, at_most=15.0),
     Rule("symbols", "n_symbols", "n_words", at_most=0.1),
     Rule("stop_words", "n_stop_words", "n_words", at_least=0.02),
-    Rule("dup_lines", "n_dup_lines", "n_lines", at_most=0.3),
+    Rule("dup_lines", "n_dup_lines", "n_lines", at_most=0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", at_most=0.9),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", at_most=0.3),
 )

@@ -9,7 +9,8 @@ its tokens. What is left between template tokens are the slots; the one element
 their text is the host's main slot.
 
 Extraction keeps the text of the main slot, in page order, without template text and without elements
-that the standard or their names mark as menus, notices, adverts, forms, comments and the like.
+that the standard or their names mark as menus, notices, adverts, forms, comments and the like. Text
+inside an article or main element is kept though other pages repeat it: they may be copies.
 
 Defined cases: a null or empty page has an empty text; pages without a usable url share one host;
 hosts with few pages, and pages without their host's main slot, use the page's own main element; very
@@ -212,7 +213,7 @@ def main_text(html: str, main: str, template_texts: set[int], share: float) -> s
         chosen = within(content or main_element(chars, share))
     blocks: dict[int, list[str]] = defaultdict(list)
     for t in chosen:
-        if not template_texts or _key(t) not in template_texts:
+        if not template_texts or _content_path(t.path) or _key(t) not in template_texts:
             blocks[t.block].append(t.text)
     lines = (squeezed("".join(parts)) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
