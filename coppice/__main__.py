@@ -13,12 +13,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from coppice.operators.features import INDEXED_FEATURES
+from coppice.operators.learners import LEARNERS, learner
 from coppice.plans import jobs
 from coppice.settings import TrainSettings
 from coppice.sources.registry import ModelRegistry
 from coppice.sources.tables import TableRef
 
 
+#: The pipeline for one text column; the others are learners over numeric columns.
+TEXT = "text"
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="coppice", description=__doc__)
     parser.add_argument("--registry", required=True, help="folder of the registry tables")
@@ -34,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--inputs", required=True, nargs="+")
     train.add_argument("--label", required=True)
     train.add_argument("--keys", required=True, nargs="+")
+    train.add_argument("--learner", default="forest", choices=[*sorted(LEARNERS), TEXT])
     train.add_argument("--set", nargs="*", default=[], metavar="NAME=VALUE")
 
     stage = commands.add_parser("stage", help="move a version to a stage")
@@ -43,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     score = commands.add_parser("score", help="predict a table")
     score.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     score.add_argument("--keep", nargs="+")
+    score.add_argument("--truth", action="store_true", help="rows have labels to be judged by")
 
     evaluate = commands.add_parser("evaluate", help="score the held-out rows and judge them")
     evaluate.add_argument("--skip-scoring", action="store_true")
@@ -65,6 +73,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> dict[str, object]:
 
     if args.command == "train":
         settings = TrainSettings.from_strings(dict(item.split("=", 1) for item in args.set))
+        if args.learner == TEXT:
+            stages = jobs.text_pipeline(args.inputs[0], args.label, settings)
+        else:
+            estimator = learner(args.learner, settings, INDEXED_FEATURES)
+            stages = jobs.tabular_pipeline(args.inputs, args.label, settings, estimator)
         version = jobs.train(
             spark,
             table(args.source),
@@ -76,6 +89,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> dict[str, object]:
             args.label,
             args.keys,
             settings,
+            stages,
         )
         return {"version": version.version, "run_id": version.run_id, "source": version.source}
     if args.command == "stage":
@@ -84,7 +98,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> dict[str, object]:
     source, sink = table(args.source), table(args.sink)
     if args.command == "score":
         used = jobs.score(
-            spark, source, sink, registry, args.model, args.stage, args.mode, args.keep
+            spark, source, sink, registry, args.model, args.stage, args.mode, args.keep, args.truth
         )
         return {"version": used.version, "sink": args.sink}
     result = jobs.evaluate(

@@ -30,6 +30,11 @@ INDEXED_FEATURES = "indexedFeatures"
 PREDICTION = "prediction"
 WORDS = "words"
 
+# Names of the decoded classes, and the class of labels unseen at the fit.
+ACTUAL_LABEL = "actual_label"
+PREDICTED_LABEL = "predicted_label"
+UNSEEN = "__unknown"
+
 
 def label_indexer(
     label: str, order: str = "alphabetAsc", invalid: str = "error", output: str = INDEXED_LABEL
@@ -105,7 +110,7 @@ def category_counts(model: VectorIndexerModel, names: Sequence[str]) -> Mapping[
     return {names[slot]: len(values) for slot, values in model.categoryMaps.items()}
 
 
-def decoded(df: DataFrame, labels: Sequence[str], output: str = "predicted_label") -> DataFrame:
+def decoded(df: DataFrame, labels: Sequence[str], output: str = PREDICTED_LABEL) -> DataFrame:
     """Turn predicted codes back into the labels the model was trained on."""
     return IndexToString(inputCol=PREDICTION, outputCol=output, labels=list(labels)).transform(df)
 
@@ -114,6 +119,18 @@ def model_labels(model: PipelineModel) -> list[str]:
     return list(stage_of(model, StringIndexerModel).labels)
 
 
+def label_stage(model: PipelineModel) -> StringIndexerModel | None:
+    """The stage that codes the label, if the pipeline has one."""
+    found = [s for s in model.stages if isinstance(s, StringIndexerModel)]
+    return next((s for s in found if s.getOutputCol() == INDEXED_LABEL), None)
+
+
+def without_label(model: PipelineModel) -> PipelineModel:
+    """The pipeline for rows whose label is missing or of no interest."""
+    indexer = label_stage(model)
+    return PipelineModel([s for s in model.stages if s is not indexer])
+
+
 def attach_names(df: DataFrame, label: str, names: DataFrame) -> DataFrame:
     """Left join to a ``(label, name, …)`` table with one row per class."""
     return join_on(df, localised(names), [label], "left")

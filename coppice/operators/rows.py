@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coppice.functions.hashing import content_hash, split_hash
-from coppice.sources.workspace import shared_dir
+from coppice.sources.workspace import scratch_path, shared_dir
 
 COPIES_PER_ROW = 100_000
 
@@ -48,6 +48,24 @@ def ranked(df: DataFrame, value: str, tie: str) -> DataFrame:
     return df.orderBy(F.desc(value), F.asc(tie))
 
 
+def numbered(df: DataFrame, output: str = "position") -> DataFrame:
+    """The place of every row in the order that ``df`` has, from 1.
+
+    The rows are written once; tasks are counted, and each row adds its place in its task to the rows
+    of the tasks before. Only one row per task meets in a window.
+    """
+    path = scratch_path(df.sparkSession, "numbered")
+    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).withColumns(
+        {"_task": F.shiftright("_at", 33), "_in_task": F.col("_at").bitwiseAND((1 << 33) - 1)}
+    )
+    tasks = rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = tasks.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_in_task") + 1
+    return rows.join(starts, "_task").select(*df.columns, place.alias(output))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 

@@ -39,9 +39,14 @@ ACCURACY = "Accuracy"
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Results per model version: ``(model_version, accuracy)`` and the matrix cells."""
+    """Results per model version, by label.
+
+    ``accuracy`` is ``(model_version, accuracy)``, ``counts`` holds the non-empty cells of the matrix,
+    and ``confusion`` the full grid of them, with names if they were given.
+    """
 
     accuracy: DataFrame
+    counts: DataFrame
     confusion: DataFrame
 
 
@@ -131,17 +136,29 @@ def train(
     pipeline = stages or tabular_pipeline(inputs, label, settings)
     model = fit(training, inputs, label, pipeline, settings)
     path = f"{model_root.rstrip('/')}/{name}/{run_id}"
-    save_model(model, path, contract_of(table, inputs))
+    scored = predict(model, table.select(*inputs))
+    outputs = contract_of(scored, [c for c in scored.columns if c not in inputs])
+    save_model(model, path, contract_of(table, inputs), outputs)
     registry.log_run_params(run_id, settings.as_params())
     return registry.register_one(name, run_id, path)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, truth: bool = False) -> DataFrame:
     """All input columns and the pipeline's own, in types that every table format keeps.
 
-    Vectors become arrays. Hashed text stays sparse, as its stored indices and values.
+    Vectors become arrays. Hashed text stays sparse, as its stored indices and values. Predictions
+    are decoded with the model's own labels, as ``predicted_label``: codes mean different classes in
+    different versions. The label is read only with ``truth``, which adds its code and its text,
+    ``actual_label``.
     """
-    scored = model.transform(df)
+    indexer = feat.label_stage(model)
+    scored = (model if truth else feat.without_label(model)).transform(df)
+    if indexer is not None:
+        unseen = [feat.UNSEEN] if indexer.getHandleInvalid() == "keep" else []
+        scored = feat.decoded(scored, [*indexer.labels, *unseen])
+        if truth:
+            text = F.col(indexer.getInputCol()).cast("string")
+            scored = scored.withColumn(feat.ACTUAL_LABEL, text)
     hashed = {stage.getOutputCol() for stage in model.stages if isinstance(stage, HashingTF)}
     vectors = [field.name for field in scored.schema if isinstance(field.dataType, VectorUDT)]
     return scored.withColumns(
@@ -165,16 +182,20 @@ def score(
     stage: str,
     mode: str = "overwrite",
     keep: Sequence[str] | None = None,
+    truth: bool = False,
 ) -> ModelVersion:
     """Score a table with the model at a stage and write it with the model's name and version.
 
-    New data and held-out rows differ only in ``source`` and ``sink``. ``keep`` limits the columns
-    written, and so those read; ``mode="append"`` collects a scoring history.
+    New data needs no label, and one that it has is not looked at; ``truth`` indexes the label of
+    rows that are to be judged. ``keep`` limits the columns written, and so those read;
+    ``mode="append"`` collects a scoring history. Inputs and outputs are checked against the
+    signature stored with the model.
     """
     found = registry.lookup(name, stage)
     table = source.read(spark)
     check_contract(table, load_contract(spark, found.source))
-    scored = predict(load_model(found.source), table)
+    scored = predict(load_model(found.source), table, truth)
+    check_contract(scored, load_contract(spark, found.source, "outputs"), "output")
     if keep is not None:
         scored = scored.select(*keep)
     sink.write(
@@ -195,23 +216,28 @@ def evaluate(
     stage: str,
     scoring: bool = True,
     keep: Sequence[str] | None = None,
-    actual: str = feat.INDEXED_LABEL,
-    predicted: str = feat.PREDICTION,
+    actual: str = feat.ACTUAL_LABEL,
+    predicted: str = feat.PREDICTED_LABEL,
+    names: DataFrame | None = None,
 ) -> Evaluation:
     """Score the held-out rows unless that is done, then judge every version in the scored table.
 
-    One aggregation covers the whole scoring history, and all results come from its counts. The
-    accuracy is logged under the run of each version.
+    One aggregation covers the whole scoring history, and all results come from its counts. Cells are
+    labels, not codes; ``names(label, name)`` adds class names to the matrix. The accuracy is logged
+    under the run of each version.
     """
     if scoring:
-        score(spark, heldout, scored, registry, name, stage, keep=keep)
+        score(spark, heldout, scored, registry, name, stage, keep=keep, truth=True)
     history = scored.read(spark).filter(F.col("model_name") == name)
     by = ["model_version"]
     counts = localised(metrics.confusion_counts(history, actual, predicted, by))
     accuracy = metrics.accuracy_from_counts(counts, by)
     logged = accuracy.withColumnRenamed("accuracy", "value").withColumn("key", F.lit(ACCURACY))
     registry.log_version_metrics(name, logged)
-    return Evaluation(accuracy, metrics.matrix_from_counts(counts, by=by))
+    confusion = metrics.matrix_from_counts(counts, by=by)
+    if names is not None:
+        confusion = metrics.confusion_named(confusion, names)
+    return Evaluation(accuracy, counts, confusion)
 
 
 def fit_and_test(
@@ -229,5 +255,5 @@ def fit_and_test(
     """
     training, rest = sides(split(df, label, keys, settings.but(stratified=True)))
     pipeline = tabular_pipeline(inputs, label, settings, estimator)
-    scored = predict(fit(training, inputs, label, pipeline, settings), rest)
+    scored = predict(fit(training, inputs, label, pipeline, settings), rest, truth=True)
     return scored, metrics.accuracy(scored, feat.INDEXED_LABEL, feat.PREDICTION)

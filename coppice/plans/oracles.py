@@ -80,7 +80,8 @@ SHAPE_COLUMNS = """
     round(CASE WHEN n_chars = 0 THEN 0 ELSE n_other / n_chars END, 6) AS nonalpha_ratio"""
 
 SCORED = """
-SELECT doc_id, quality, true AS in_classes, true AS prob_ok FROM flagged WHERE NOT is_train"""
+SELECT doc_id, quality, true AS in_classes, true AS prob_ok, true AS beats_constant
+FROM flagged WHERE NOT is_train"""
 
 ORACLES: dict[str, str] = {
     "table_scan": "SELECT * FROM orders",
@@ -99,7 +100,10 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey::VARCHAR AS c_custkey, c_nationkey::DOUBLE AS c_nationkey,
                trunc(c_acctbal)::INT AS c_acctbal
         FROM customer""",
-    "shuffle_rows": "SELECT o_orderkey, o_custkey FROM orders",
+    "shuffle_rows": f"""
+        SELECT o_orderkey, o_custkey,
+               row_number() OVER (ORDER BY {_hash(42, "o_orderkey")}, o_orderkey) AS position
+        FROM orders""",
     "shuffle_topn": f"""
         SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
         ORDER BY {_hash(42, "o_orderkey")}, o_orderkey LIMIT 100""",
@@ -108,8 +112,10 @@ ORACLES: dict[str, str] = {
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 5""",
     "sort_descending": """
         SELECT l_returnflag || '-' || l_linestatus AS price_group,
-               max(l_extendedprice) AS top_price
-        FROM lineitem GROUP BY l_returnflag, l_linestatus ORDER BY top_price DESC, price_group""",
+               max(l_extendedprice) AS top_price,
+               row_number() OVER (ORDER BY max(l_extendedprice) DESC,
+                                  l_returnflag || '-' || l_linestatus) AS position
+        FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     "random_split": f"""
         SELECT o_orderkey, o_orderstatus, {_below(42, "o_orderkey", 0.7)} AS is_train
         FROM orders""",
@@ -248,9 +254,14 @@ ORACLES: dict[str, str] = {
     "scored_display": f"""{HELDOUT}, {SHAPES}
         SELECT doc_id, flagged.quality::DOUBLE AS "indexedLabel", true AS in_classes, {SHAPE_COLUMNS}
         FROM flagged JOIN shapes USING (doc_id) WHERE NOT is_train""",
-    "forest_full_options": f"{HELDOUT} {SCORED}",
+    "forest_full_options": f"""{HELDOUT}
+        SELECT doc_id, quality, true AS in_classes, true AS prob_ok, 100 AS n_trees,
+               20 AS max_depth, 'auto' AS subset, 'gini' AS impurity, true AS bootstrap,
+               21 AS seed, true AS weighted
+        FROM flagged WHERE NOT is_train""",
     "predictions_decoded": f"""{HELDOUT}
-        SELECT doc_id, quality, quality AS decoded_truth, true AS in_classes
+        SELECT doc_id, quality, quality AS decoded_truth, true AS in_classes,
+               quality::VARCHAR AS actual_label
         FROM flagged WHERE NOT is_train""",
     "model_reload": f"""{HELDOUT}
         SELECT doc_id, true AS same_prediction FROM flagged WHERE NOT is_train""",
@@ -261,10 +272,30 @@ ORACLES: dict[str, str] = {
         SELECT 1::BIGINT AS model_version, quality AS actual, count(*) AS n,
                true AS beats_majority, true AS is_logged
         FROM flagged WHERE NOT is_train GROUP BY quality""",
+    "evaluate_history": f"""{HELDOUT}
+        SELECT unnest([1, 2])::BIGINT AS model_version, quality::VARCHAR AS actual,
+               CASE quality WHEN 0 THEN 'poor' WHEN 1 THEN 'good' END AS actual_name,
+               count(*) AS n, true AS beats_chance
+        FROM flagged WHERE NOT is_train GROUP BY quality""",
+    "model_signature": " UNION ALL ".join(
+        [f"SELECT 'inputs' AS side, '{name}' AS name, 'double' AS type" for name in INPUTS]
+        + [
+            f"SELECT 'outputs', '{name}', '{kind}'"
+            for name, kind in (
+                ("features", "array<double>"),
+                ("indexedFeatures", "array<double>"),
+                ("rawPrediction", "array<double>"),
+                ("probability", "array<double>"),
+                ("prediction", "double"),
+                ("predicted_label", "string"),
+            )
+        ]
+    ),
     "text_logistic": f"{HELDOUT} {SCORED}",
     "linear_svc": f"""{HELDOUT}
-        SELECT doc_id, quality, true AS in_classes FROM flagged WHERE NOT is_train""",
+        SELECT doc_id, quality, true AS in_classes, true AS beats_constant
+        FROM flagged WHERE NOT is_train""",
     "harness": f"""{HELDOUT}
-        SELECT quality::DOUBLE AS y_test, count(*) AS n, true AS hit_ok
+        SELECT quality::DOUBLE AS y_test, count(*) AS n, true AS beats_constant
         FROM flagged WHERE NOT is_train GROUP BY quality""",
 }

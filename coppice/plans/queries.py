@@ -19,7 +19,7 @@ from coppice.operators import features as feat
 from coppice.operators import metrics
 from coppice.operators.learners import feature_ranking as ranking_of
 from coppice.operators.learners import learner
-from coppice.operators.rows import first_shuffled, latest_per_key, ranked
+from coppice.operators.rows import first_shuffled, latest_per_key, numbered, ranked
 from coppice.operators.rows import preview as first_rows
 from coppice.operators.rows import shuffled as shuffled_table
 from coppice.operators.split import hash_split, sides
@@ -28,7 +28,7 @@ from coppice.operators.weights import balanced_weights as with_balanced_weights
 from coppice.plans import jobs
 from coppice.plans.documents import INPUTS, KEYS, LABEL, labelled_hashes, labelled_shapes
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
-from coppice.sources.models import load_model, save_model
+from coppice.sources.models import load_contract, load_model, save_model
 from coppice.sources.registry import ModelRegistry
 from coppice.sources.tables import TableRef
 from coppice.sources.workspace import scratch_path
@@ -71,7 +71,9 @@ def orc_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         path=scratch_path(spark, "customer"), name=f"customer_{uuid.uuid4().hex}", fmt="ORC"
     )
     copy.write(table(spark, sf_dir, "customer"))
-    return copy.read(spark)
+    rows = copy.read(spark)
+    spark.sql(f"DROP TABLE {copy.name}")  # its files lie in the shared folder and stay
+    return rows
 
 
 # Projections, filters, scalar expressions
@@ -105,7 +107,7 @@ def cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return shuffled_table(orders, ["o_orderkey"], seed=42)
+    return numbered(shuffled_table(orders, ["o_orderkey"], seed=42))
 
 
 def shuffle_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +125,7 @@ def sort_descending(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_extendedprice").alias("top_price")
     )
     group = F.concat_ws("-", "l_returnflag", "l_linestatus").alias("price_group")
-    return ranked(prices.select(group, "top_price"), "top_price", "price_group")
+    return numbered(ranked(prices.select(group, "top_price"), "top_price", "price_group"))
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,47 +396,73 @@ def _train_shapes(
 ) -> tuple[ModelRegistry, TableRef]:
     """Run the training job and stage its version; returns the registry and held-out table."""
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    return registry, _train_version(spark, registry, _shape_table(spark, sf_dir), settings)
+
+
+def _train_version(
+    spark: SparkSession, registry: ModelRegistry, shapes: TableRef, settings: TrainSettings
+) -> TableRef:
     heldout = TableRef(path=scratch_path(spark, "heldout"))
+    models = scratch_path(spark, "models")
     version = jobs.train(
-        spark,
-        _shape_table(spark, sf_dir),
-        heldout,
-        registry,
-        MODEL,
-        scratch_path(spark, "models"),
-        INPUTS,
-        LABEL,
-        KEYS,
-        settings,
+        spark, shapes, heldout, registry, MODEL, models, INPUTS, LABEL, KEYS, settings
     )
     registry.set_stage(MODEL, version.version, STAGE)
-    return registry, heldout
+    return heldout
 
 
-def _score_shapes(spark: SparkSession, sf_dir: str, settings: TrainSettings) -> DataFrame:
+def _score_shapes(
+    spark: SparkSession, sf_dir: str, settings: TrainSettings
+) -> tuple[PipelineModel, DataFrame]:
+    """The stored model and what it scored."""
     registry, heldout = _train_shapes(spark, sf_dir, settings)
     scored = TableRef(path=scratch_path(spark, "scored"), fmt="orc")
-    jobs.score(spark, heldout, scored, registry, MODEL, STAGE)
-    return scored.read(spark)
+    version = jobs.score(spark, heldout, scored, registry, MODEL, STAGE, truth=True)
+    return load_model(version.source), scored.read(spark)
 
 
 def _in_classes() -> Column:
     return F.col(feat.PREDICTION).isin(0.0, 1.0).alias("in_classes")
 
 
+def _beats_constant(scored: DataFrame) -> Column:
+    """Whether the mean recall of the classes is above that of any constant prediction."""
+    right = (F.col(feat.PREDICTION) == F.col(feat.INDEXED_LABEL)).cast("double")
+    recalls = scored.groupBy(feat.INDEXED_LABEL).agg(F.avg(right).alias("recall"))
+    mean, classes = recalls.agg(F.avg("recall"), F.count(F.lit(1))).first()
+    return F.lit(mean > 1 / classes + 0.01).alias("beats_constant")
+
+
 def _prob_ok() -> Column:
     total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
     return (F.abs(total - 1) < 1e-9).alias("prob_ok")
 
 
 def forest_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _score_shapes(spark, sf_dir, DOCUMENT_FOREST)
-    return scored.select("doc_id", LABEL, _in_classes(), _prob_ok())
+    _, scored = _score_shapes(spark, sf_dir, DOCUMENT_FOREST)
+    return scored.select("doc_id", LABEL, _in_classes(), _prob_ok(), _beats_constant(scored))
 
 
 def forest_full_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _score_shapes(spark, sf_dir, DOCUMENT_FULL_FOREST)
-    return scored.select("doc_id", LABEL, _in_classes(), _prob_ok())
+    """With the options of the stored forest, which another configuration would not have."""
+    model, scored = _score_shapes(spark, sf_dir, DOCUMENT_FULL_FOREST)
+    forest = model.stages[-1]
+    options = {
+        "n_trees": forest.getNumTrees,
+        "max_depth": forest.getMaxDepth(),
+        "subset": forest.getFeatureSubsetStrategy(),
+        "impurity": forest.getImpurity(),
+        "bootstrap": forest.getBootstrap(),
+        "seed": forest.getSeed(),
+        "weighted": forest.isSet("weightCol"),
+    }
+    return scored.select(
+        "doc_id",
+        LABEL,
+        _in_classes(),
+        _prob_ok(),
+        *[F.lit(value).alias(name) for name, value in options.items()],
+    )
 
 
 def _fit_shapes(
@@ -449,7 +477,7 @@ def _fit_shapes(
 
 def scored_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, rest = _fit_shapes(spark, sf_dir, DOCUMENT_FOREST)
-    shown = jobs.predict(model, rest).select(
+    shown = jobs.predict(model, rest, truth=True).select(
         "doc_id", feat.PREDICTION, feat.INDEXED_LABEL, feat.FEATURES
     )
     slots = [F.col(feat.FEATURES)[i].alias(name) for i, name in enumerate(INPUTS)]
@@ -463,7 +491,7 @@ def scored_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictions_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, rest = _fit_shapes(spark, sf_dir, DOCUMENT_FOREST)
     labels = feat.model_labels(model)
-    scored = feat.decoded(jobs.predict(model, rest), labels)
+    scored = jobs.predict(model, rest, truth=True)
     truth = F.element_at(
         F.array(*[F.lit(x) for x in labels]), F.col(feat.INDEXED_LABEL).cast("int") + 1
     )
@@ -471,7 +499,8 @@ def predictions_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         LABEL,
         truth.cast("int").alias("decoded_truth"),
-        F.col("predicted_label").isin(QUALITY_CLASSES).alias("in_classes"),
+        F.col(feat.PREDICTED_LABEL).isin(QUALITY_CLASSES).alias("in_classes"),
+        F.col(feat.ACTUAL_LABEL).alias("actual_label"),
     )
 
 
@@ -527,6 +556,51 @@ def evaluate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def evaluate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions that code the classes in other orders, judged by label in one history."""
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    shapes, scored = _shape_table(spark, sf_dir), TableRef(path=scratch_path(spark, "scored"))
+    for order in ("alphabetAsc", "frequencyDesc"):
+        settings = DOCUMENT_FOREST.but(trees=5, label_order=order)
+        heldout = _train_version(spark, registry, shapes, settings)
+        jobs.score(spark, heldout, scored, registry, MODEL, STAGE, mode="append", truth=True)
+    names = (
+        table(spark, sf_dir, "labels")
+        .select(F.col("quality").cast("string").alias("label"), "quality")
+        .distinct()
+        .select("label", class_name(F.col("quality"), QUALITY_NAMES).alias("name"))
+    )
+    result = jobs.evaluate(
+        spark, heldout, scored, registry, MODEL, STAGE, scoring=False, names=names
+    )
+    rows = result.confusion.groupBy("model_version", "actual", "actual_name").agg(
+        F.sum("n").alias("n")
+    )
+    return rows.join(result.accuracy, "model_version").select(
+        "model_version",
+        "actual",
+        "actual_name",
+        "n",
+        (F.col("accuracy") > 0.5).alias("beats_chance"),
+    )
+
+
+def model_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of the signature stored with a model, read back."""
+    registry, _ = _train_shapes(spark, sf_dir, DOCUMENT_FOREST.but(trees=2, depth=2))
+    path = registry.lookup(MODEL, STAGE).source
+    fields = [
+        F.struct(
+            F.lit(side).alias("side"),
+            F.lit(field.name).alias("name"),
+            F.lit(field.dataType.simpleString()).alias("type"),
+        )
+        for side in ("inputs", "outputs")
+        for field in load_contract(spark, path, side)
+    ]
+    return spark.range(1).select(F.inline(F.array(*fields)))
+
+
 def text_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text is hashed before the join; the narrow table is written once, then split and fitted."""
     stages = jobs.text_pipeline("text", LABEL, DOCUMENT_TEXT)
@@ -537,7 +611,8 @@ def text_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref.write(labelled_hashes(documents, labels, hashing))
     training, rest = sides(jobs.split(ref.read(spark), LABEL, KEYS, DOCUMENT_TEXT))
     model = jobs.fit(training, [feat.FEATURES], LABEL, learning, DOCUMENT_TEXT)
-    return jobs.predict(model, rest).select("doc_id", LABEL, _in_classes(), _prob_ok())
+    scored = jobs.predict(model, rest, truth=True)
+    return scored.select("doc_id", LABEL, _in_classes(), _prob_ok(), _beats_constant(scored))
 
 
 def _harness(spark: SparkSession, sf_dir: str, name: str, settings: TrainSettings) -> DataFrame:
@@ -549,19 +624,13 @@ def _harness(spark: SparkSession, sf_dir: str, name: str, settings: TrainSetting
 
 def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _harness(spark, sf_dir, "linear_svc", DOCUMENT_LINEAR)
-    return scored.select("doc_id", LABEL, _in_classes())
+    return scored.select("doc_id", LABEL, _in_classes(), _beats_constant(scored))
 
 
 def harness(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _harness(spark, sf_dir, "logistic", DOCUMENT_LINEAR)
-    codes = jobs.truth_and_prediction(scored.select("doc_id", feat.INDEXED_LABEL, feat.PREDICTION))
-    right = metrics.accuracy(
-        codes, "y_test", "y_pred", by=["y_test"], normalize=False, output="hit"
-    )
-    counts = codes.groupBy("y_test").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(right, "y_test").select(
-        "y_test", "n", F.col("hit").between(0, F.col("n")).alias("hit_ok")
-    )
+    counts = jobs.truth_and_prediction(scored).groupBy("y_test").agg(F.count("y_pred").alias("n"))
+    return counts.select("y_test", "n", _beats_constant(scored))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -618,6 +687,8 @@ QUERIES: dict[str, Query] = {
     "model_reload": model_reload,
     "feature_ranking": feature_ranking,
     "evaluate_job": evaluate_job,
+    "evaluate_history": evaluate_history,
+    "model_signature": model_signature,
     "text_logistic": text_logistic,
     "linear_svc": linear_svc,
     "harness": harness,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from coppice.__main__ import run as run_command
 from coppice.operators import features as feat
 from coppice.operators.learners import feature_ranking, learner
+from coppice.operators.rows import numbered
 from coppice.operators.split import hash_split
 from coppice.plans import jobs
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
@@ -76,20 +77,21 @@ def test_train_score_evaluate(spark, flowers):
     # A second version joins the history, and both are judged in one pass.
     second, _ = run_train(spark, flowers, registry, SMALL.but(trees=3, depth=2))
     registry.set_stage("flowers", second.version, "Production")
-    jobs.score(spark, heldout, scored, registry, "flowers", "Production", mode="append")
+    jobs.score(spark, heldout, scored, registry, "flowers", "Production", mode="append", truth=True)
     both = jobs.evaluate(spark, heldout, scored, registry, "flowers", "Staging", scoring=False)
     assert sorted(r["model_version"] for r in both.accuracy.collect()) == [1, 2]
     assert registry.leaderboard("Accuracy").count() == 2
     assert {r["n"] for r in both.confusion.groupBy("model_version").agg(F.sum("n").alias("n")).collect()} == {45}
 
 
-def test_new_data_needs_no_label(spark, flowers):
+def test_new_data_needs_no_known_label(spark, flowers):
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
     run_train(spark, flowers, registry)
     registry.set_stage("flowers", 1, "Production")
     fresh = TableRef(path=scratch_path(spark, "fresh"))
-    fresh.write(flowers.read(spark).drop("label"))
+    fresh.write(flowers.read(spark).withColumn("label", F.when(F.col("id") % 2 == 0, F.lit(77.0))))
     sink = TableRef(path=scratch_path(spark, "sink"))
+    jobs.score(spark, fresh, TableRef(path=scratch_path(spark, "all")), registry, "flowers", "Production")
     keep = ["id", "prediction", "probability"]
     jobs.score(spark, fresh, sink, registry, "flowers", "Production", keep=keep)
     out = sink.read(spark)
@@ -110,7 +112,7 @@ def test_hash_split_and_a_frame_as_source(spark, flowers):
     assert rest.exceptAll(wanted).isEmpty() and wanted.exceptAll(rest).isEmpty()
     registry.set_stage("flowers", 1, "Staging")
     judged = TableRef(path=scratch_path(spark, "judged"))
-    keep = ["indexedLabel", "prediction"]
+    keep = ["actual_label", "predicted_label"]
     jobs.evaluate(spark, heldout, judged, registry, "flowers", "Staging", keep=keep)
     assert judged.read(spark).columns == [*keep, "model_name", "model_version"]
 
@@ -275,3 +277,35 @@ def test_command_line(spark, flowers):
     judged = call("evaluate", *places)
     assert judged["accuracy"]["1"] > 0.8
     assert call("evaluate", *places, "--skip-scoring") == judged
+
+
+def test_history_of_other_codes_is_judged_by_label(spark):
+    """Label 10 is the rarer one: by text it has code 0, by frequency code 1."""
+    x = F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.lit(0.0)) + F.col("id") / 1000
+    df = spark.range(90).select(
+        "id", *[(x * i).alias(c) for i, c in enumerate(INPUTS, 1)],
+        F.when(F.col("id") % 3 == 0, F.lit(10)).otherwise(F.lit(2)).alias("label"),
+    )
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    scored = TableRef(path=scratch_path(spark, "scored"))
+    for version, order in enumerate(("alphabetAsc", "frequencyDesc"), 1):
+        _, heldout = run_train(spark, df, registry, SMALL.but(label_order=order))
+        registry.set_stage("flowers", version, "Staging")
+        jobs.score(spark, heldout, scored, registry, "flowers", "Staging", mode="append", truth=True)
+    names = spark.createDataFrame([("2", "two"), ("10", "ten")], "label string, name string")
+    result = jobs.evaluate(
+        spark, heldout, scored, registry, "flowers", "Staging", scoring=False, names=names
+    )
+    cells = {
+        (r["model_version"], r["actual_name"], r["predicted_name"]): r["n"]
+        for r in result.confusion.filter("n > 0").collect()
+    }
+    assert cells == {(v, name, name): n for v in (1, 2) for name, n in (("two", 18), ("ten", 9))}
+    assert result.counts.count() == 4
+
+
+def test_position_follows_the_order(spark):
+    df = spark.range(1000, numPartitions=7).select((F.col("id") * 7919 % 1000).alias("v"))
+    placed = numbered(df.orderBy(F.desc("v"))).collect()
+    assert all(r["position"] == 1000 - r["v"] for r in placed)
+    assert numbered(df.filter("v < 0").orderBy("v")).count() == 0
