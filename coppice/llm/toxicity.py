@@ -2,7 +2,8 @@
 
 Examples are indexed in blocks: each term has its postings by block and the largest weight it has in
 every block. A query bounds each block from above by those largest weights, scores blocks from the
-highest bound on, and stops when no bound reaches the k-th best cosine, so the neighbours are exact.
+highest bound on, several at once, and stops when no bound reaches the k-th best cosine, so the
+neighbours are exact.
 Their labels vote by similarity; the votes are calibrated on the examples, each one leaving itself
 out. The neighbours are returned as evidence.
 
@@ -37,6 +38,8 @@ _WORD = re.compile(r"\w+")
 _PREFIXES = (4, 5, 6)
 _CALIBRATION_TASKS = 24
 _WORDS_SEEN = 200_000
+_FIRST_WAVE = 32
+_WAVE_GROWTH = 8
 
 
 @dataclass(frozen=True)
@@ -45,7 +48,7 @@ class ToxicitySettings:
     max_terms: int = 4_096
     min_chi2: float = 30.0
     neighbours: int = 15
-    block: int = 64
+    block: int = 128
     prior_weight: float = 0.5
     seed: int = 42
 
@@ -108,42 +111,64 @@ class BlockMaxIndex:
         example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
         # Postings by block, then term; a run is the postings of one term in one block.
         order = np.lexsort((example, term, example // block))
-        self.term, self.weight = term[order], weight[order]
-        self.local = example[order] % block
-        in_block = example[order] // block
-        self.block_at = np.searchsorted(in_block, np.arange(self.blocks + 1))
-        runs = np.flatnonzero(np.diff(in_block * max(1, terms) + self.term, prepend=-1))
-        self.run_term, self.run_block = self.term[runs], in_block[runs]
+        term, in_block = term[order], example[order] // block
+        self.weight, self.example = weight[order], example[order].astype(np.int32)
+        self.examples = len(vectors)
+        runs = np.flatnonzero(np.diff(in_block * max(1, terms) + term, prepend=-1))
+        self.run_term, self.run_block = term[runs], in_block[runs]
+        self.run_at, self.run_length = runs, np.diff(runs, append=len(term))
         self.run_max = np.maximum.reduceat(self.weight, runs) if len(runs) else self.weight
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1
     ) -> list[tuple[float, int]]:
-        """Up to ``k`` pairs of positive cosine and example, best first, ties by example."""
-        if not len(terms) or not len(self.term):
+        """Up to ``k`` pairs of positive cosine and example, best first, ties by example.
+
+        Blocks are scored in waves, each one longer than the last, as numpy's cost per call would
+        outweigh that of the few postings of one block.
+        """
+        if not len(terms) or not self.blocks:
             return []
         query = np.zeros(self.terms)
         query[terms] = weights
-        bounds = np.bincount(self.run_block, query[self.run_term] * self.run_max, self.blocks)
+        runs = np.flatnonzero(query[self.run_term])
+        factor, block = query[self.run_term[runs]], self.run_block[runs]
+        bounds = np.bincount(block, factor * self.run_max[runs], self.blocks)
+        order = np.argsort(-bounds, kind="stable")
         cosines, found = np.empty(0), np.empty(0, dtype=np.int64)
-        for b in np.argsort(-bounds, kind="stable").tolist():
+        at, size = 0, _FIRST_WAVE
+        while at < self.blocks:
             least = cosines[k - 1] if len(cosines) >= k else 0.0
             # Sums in another order may differ in the last bits, so equal bounds are looked into.
-            if bounds[b] <= 0.0 or bounds[b] * (1 + 1e-9) < least:
+            wave = order[at : at + size]
+            wave = wave[(bounds[wave] > 0.0) & (bounds[wave] * (1 + 1e-9) >= least)]
+            if not len(wave):
                 break
-            at = slice(self.block_at[b], self.block_at[b + 1])
-            scores = np.bincount(
-                self.local[at], self.weight[at] * query[self.term[at]], self.block
-            )
-            if skip // self.block == b:
-                scores[skip % self.block] = 0.0
-            hits = np.flatnonzero((scores > 0.0) & (scores >= least))
+            in_wave = np.zeros(self.blocks, dtype=bool)
+            in_wave[wave] = True
+            picked = in_wave[block]
+            scores = self._scored(runs[picked], factor[picked])
+            if skip >= 0:
+                scores[skip] = 0.0
+            hits = np.flatnonzero(scores >= least) if least else np.flatnonzero(scores)
             cosines = np.concatenate([cosines, scores[hits]])
-            found = np.concatenate([found, hits + b * self.block])
+            found = np.concatenate([found, hits])
+            if len(cosines) > k:
+                good = cosines >= np.partition(cosines, len(cosines) - k)[len(cosines) - k]
+                cosines, found = cosines[good], found[good]
             best = np.lexsort((found, -cosines))[:k]
             cosines, found = cosines[best], found[best]
+            at, size = at + size, size * _WAVE_GROWTH
         return list(zip(cosines.tolist(), found.tolist(), strict=True))
 
+    def _scored(self, runs: np.ndarray, factor: np.ndarray) -> np.ndarray:
+        """Sums of weight times factor over the postings of ``runs``, for every example."""
+        length = self.run_length[runs]
+        end = np.cumsum(length)
+        at = np.arange(end[-1]) + np.repeat(self.run_at[runs] - (end - length), length)
+        products = self.weight[at] * np.repeat(factor, length)
+        return np.bincount(self.example[at], products, self.examples)
+
 
 def pooled(votes: np.ndarray, labels: np.ndarray) -> tuple[list[float], list[float]]:
     """Non-decreasing share of label 1 by vote: neighbouring groups that fall are pooled."""
