@@ -152,9 +152,11 @@ def host_templates(hosted: DataFrame, settings: TemplateSettings) -> DataFrame:
         ),
         "page-tokens",
     )
-    sizes = hosted.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
+    sizes = stored(hosted.groupBy("host").agg(F.count(F.lit(1)).alias("of")), "host-sizes")
+    # The first filter follows from the second; tokens of few pages need not meet their host.
     usual = (
-        by_token.join(sizes, "host")
+        by_token.filter(F.col("pages") >= settings.min_share * settings.min_pages)
+        .join(sizes, "host")
         .filter((F.col("of") >= settings.min_pages) & (F.col("pages") >= settings.min_share * F.col("of")))
     )
     classes = (
