@@ -130,7 +130,8 @@ def resampled(
     docs: DataFrame, good: DataFrame, settings: ResampleSettings = ResampleSettings()
 ) -> DataFrame:
     """``(doc_id, log_weight, key, selected)`` for every document."""
-    weights = weighed(docs, log_ratios(docs, good, settings))
+    # Written first: the sampling of ranges would score every text a second time.
+    weights = stored(weighed(docs, log_ratios(docs, good, settings)), "weights")
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     seeded = F.concat(F.lit(f"{settings.seed}|"), doc_id)
     number = F.conv(F.substring(F.md5(seeded), 1, 12), 16, 10).cast("double")
