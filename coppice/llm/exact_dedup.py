@@ -9,8 +9,9 @@ Text is a grouping key in every step, so texts are told apart by their whole con
 only places them. Only built-in functions are used.
 
 Defined cases: a null text counts as empty; ties take the smallest ``doc_id``, nulls last; rows that
-repeat a ``doc_id`` count each time in ``group_size`` and are flagged alike; an empty table gives an
-empty result. Other columns are ignored, or kept by :func:`without_copies`.
+repeat a ``doc_id`` count each time in ``group_size`` and are flagged alike, but only one of them stays
+in :func:`without_copies`; an empty table gives an empty result. Other columns are ignored, or kept by
+:func:`without_copies`.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 
 from coppice.llm.text import (
     SPACE_CLASS,
+    beyond_first,
     each_salt,
     salt,
     salts_seen,
     stored,
     whole_text,
-    without_ids,
+    with_row_key,
+    without_rows,
 )
 
 SALTS = 32
@@ -42,9 +45,9 @@ def _digest(text: Column, bits: int) -> Column:
     return F.substring(F.unhex(F.sha2(text, 256)), 1, bits // 8)
 
 
-def _rows(docs: DataFrame, salts: int, bits: int) -> DataFrame:
+def _rows(docs: DataFrame, salts: int, bits: int, carried: list[Column]) -> DataFrame:
     return (
-        docs.select("doc_id", normalised(whole_text()).alias("_text"))
+        docs.select("doc_id", *carried, normalised(whole_text()).alias("_text"))
         .withColumn("_digest", _digest(F.col("_text"), bits))
         .withColumn("_salt", salt(salts))
     )
@@ -76,9 +79,9 @@ def _collided(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(keepers.distinct(), ["_digest", "_text"])
 
 
-def _result() -> list[Column]:
+def _result(carried: list[str]) -> list[Column]:
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    names = ("doc_id", "keep_id", "group_size")
+    names = ("doc_id", *carried, "keep_id", "group_size")
     return [*map(F.col, names), kept.alias("kept"), F.col("text_sha256")]
 
 
@@ -89,20 +92,30 @@ def marked_copies(docs: DataFrame, salts: int = SALTS, digest_bits: int = DIGEST
     their groups by digest and salt without the text. Should a digest stand for several texts, its
     rows are joined by text instead.
     """
-    rows = _rows(docs, salts, digest_bits)
+    return _marked(docs, salts, digest_bits, None)
+
+
+def _marked(docs: DataFrame, salts: int, digest_bits: int, key: str | None) -> DataFrame:
+    """The result of :func:`marked_copies`, with the column ``key`` as ``_row`` if there is one."""
+    names = ["_row"] if key else []
+    rows = _rows(docs, salts, digest_bits, [F.col(key).alias("_row")] if key else [])
     groups = stored(_groups(rows), "copies")
-    slim = rows.select("doc_id", "_digest", "_salt", F.sha2("_text", 256).alias("text_sha256"))
+    slim = rows.select(
+        "doc_id", *names, "_digest", "_salt", F.sha2("_text", 256).alias("text_sha256")
+    )
     single = groups.filter("_texts = 1").select(
         "_digest", "keep_id", "group_size", each_salt("_salts", salts).alias("_salt")
     )
-    result = slim.join(single, ["_digest", "_salt"]).select(*_result())
+    result = slim.join(single, ["_digest", "_salt"]).select(*_result(names))
     several = groups.filter("_texts > 1")
     if several.isEmpty():
         return result
     apart = _collided(rows.withColumn("text_sha256", F.sha2("_text", 256)), several)
-    return result.unionByName(apart.select(*_result()))
+    return result.unionByName(apart.select(*_result(names)))
 
 
 def without_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows that stay, with all their columns; only ids of dropped rows are joined to them."""
-    return without_ids(docs, marked_copies(docs, salts).filter(~F.col("kept")))
+    """One row of each text stays, with all its columns; only keys of dropped rows are joined."""
+    keyed, key = with_row_key(docs)
+    marked = _marked(keyed, salts, DIGEST_BITS, key).select("_row", "kept", "text_sha256")
+    return without_rows(keyed, key, beyond_first(stored(marked, "marked"), ["text_sha256"]))

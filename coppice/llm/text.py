@@ -48,13 +48,34 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ``doc_id`` is in ``dropped``, a table of that one column.
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number for every row, and the name of that column.
 
-    The ids are written first: their exact size lets Catalyst broadcast few and shuffle many.
+    Ids may be null or repeat; the stored number tells rows apart in every later read.
     """
-    ids = stored(dropped.select(F.col("doc_id").alias("_dropped")), "dropped")
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+
+
+def without_rows(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose key is in ``dropped(_row)``, and without the key.
+
+    The keys are written first: their exact size lets Catalyst broadcast few and shuffle many.
+    """
+    keys = stored(dropped.select(F.col("_row").alias("_dropped")), "dropped")
+    return keyed.join(keys, F.col(key) == F.col("_dropped"), "left_anti").drop(key)
+
+
+def beyond_first(members: DataFrame, group: list[str]) -> DataFrame:
+    """``(_row)``: rows of ``members`` that are not the one that stays of their group.
+
+    Rows with ``kept`` have the group's smallest ``doc_id``, which several rows may have; the first of
+    them stays.
+    """
+    stays = members.filter("kept").groupBy(*group).agg(F.min("_row").alias("_row"))
+    return members.select("_row").join(stays.select("_row"), "_row", "left_anti")
 
 
 def salt(salts: int) -> Column:

@@ -163,6 +163,20 @@ def test_simhash_of_odd_rows(odd, empty):
     assert simhash.without_near(odd).columns == odd.columns
 
 
+def test_dedup_of_null_and_repeated_ids_goes_by_row(spark):
+    """A row's copy takes along neither rows without an id nor other texts of its id."""
+    texts = [f"{w} first {w} second {w} third {w} fourth" for w in ("red", "blue", "green", "grey")]
+    red, blue, green, grey = texts
+    rows = [(1, red), (None, red), (None, blue), (None, green), (None, green), (2, grey), (2, grey)]
+    rows += [(3, red), (3, "a text of its own under a repeated id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("mine"))
+    expected = sorted([(1, red), (-1, blue), (-1, green), (2, grey), (3, rows[-1][1])])
+    for stage in (exact_dedup.without_copies, simhash.without_near):
+        out = stage(df)
+        assert out.columns == df.columns
+        assert sorted((-1 if r[0] is None else r[0], r[1]) for r in out.collect()) == expected
+
+
 def test_colliding_digests_keep_texts_apart(spark):
     rows = [(i, f"text {i % 40}") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
