@@ -37,8 +37,9 @@ def clean_turns(turns: DataFrame) -> DataFrame:
 def pairs_by_opening(turns: DataFrame) -> DataFrame:
     """``(pair_id, chosen_id, rejected_id)``: neighbours in the order of their first turns.
 
-    Conversations are ordered by role and text of the first turn, then by id, so that those that open
-    alike meet; every two neighbours make a pair, the first of them chosen.
+    Conversations are ordered by role and text of the first turn, then by id; every two neighbours
+    make a pair, the first of them chosen. The ranks count over all conversations, as in the SQL of the
+    query: two that open alike only meet where the first of them has an even rank.
     """
     openings = turns.groupBy("conv_id").agg(
         F.min(F.struct("turn", "part", "role", "text")).alias("_o")
