@@ -20,7 +20,6 @@ from coppice.llm import (
     preference,
     quality,
     resampling,
-    similar,
     simhash,
     templates,
     toxicity,
@@ -357,57 +356,3 @@ def test_pipeline_equals_its_stages_done_plainly(spark, sf_dir):
     plan = {r["doc_id"]: r["copies"] for r in mixing.mix_plan(left).collect()}
     got = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect())
     assert got == Counter({d: n for d, n in plan.items() if n})
-
-
-@pytest.mark.parametrize("crowded", [2, 32])
-def test_near_stage_drops_similar_texts_only(spark, odd, empty, monkeypatch, crowded):
-    """Copies with one or two words changed go, also from a large group; half-changed texts stay."""
-    monkeypatch.setattr(similar, "CROWDED", crowded)
-    rng = random.Random(11)
-
-    def words(n):
-        return ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
-
-    rows, expected = [], set()
-    for base in range(40):
-        first = words(120)
-        expected |= {len(rows), len(rows) + 3 if base else len(rows) + 43}
-        for changed in (0, 1, 2) if base else [0, *[1] * 42]:
-            text = list(first)
-            for at in rng.sample(range(10, 110), changed):
-                text[at] = "changed"
-            rows.append((len(rows), " ".join(text)))
-        rows.append((len(rows), " ".join(first[:60] + words(60))))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(116)} for i, t in rows}
-    alike = {(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-    got = corpus_pipeline.near_copies(spark, df, "")
-    assert {r["doc_id"] for r in got.collect()} == expected
-    assert expected == {i for i in sets if not any(b == i for _, b in alike)}
-    assert similar.without_similar(odd).columns == odd.columns
-    assert similar.without_similar(empty).count() == 0
-
-
-def test_pipeline_drops_near_copies_by_jaccard(spark, sf_dir):
-    """run() against all pairs of five-word shingle sets; copies of the mix count once."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    left = exact_dedup.without_copies(quality.passing(docs)).select("doc_id", "text").collect()
-    sets = {}
-    for r in left:
-        words = r["text"].encode().lower().split()
-        sets[r["doc_id"]] = {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-    root = {d: d for d in sets}
-
-    def find(d):
-        while root[d] != d:
-            d = root[d]
-        return d
-
-    for a, b in combinations(sorted(sets), 2):
-        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-            low, high = sorted((find(a), find(b)))
-            root[high] = low
-    assert any(root[d] != d for d in root)
-    kept = docs.filter(F.col("doc_id").isin([d for d in root if root[d] == d]))
-    plan = {r["doc_id"]: r["copies"] for r in mixing.mix_plan(kept).collect() if r["copies"]}
-    assert Counter(r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()) == Counter(plan)
