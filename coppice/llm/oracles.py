@@ -149,9 +149,24 @@ SELECT pair_id, chosen_id, rejected_id, CASE WHEN common THEN 'prompt' ELSE side
 FROM judged WHERE NOT common OR side = 'chosen'
 """
 
+TOP_PRODUCTS = """
+WITH vectors AS (
+  SELECT vec_id, row_number() OVER () AS r, [floor(64 * x::DOUBLE) FOR x IN embedding] AS code
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.code, c.code)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.r <> c.r WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, vec_id, score,
+  (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INT AS rank
+FROM scored QUALIFY rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op4_mixing": MIXING,
     "op5_preference": PREFERENCE,
     "op6_quality_rules": QUALITY,
     "op7_exact_dedup": EXACT_DEDUP,
+    "op11_exact_topk": TOP_PRODUCTS,
 }

@@ -12,13 +12,16 @@ from coppice.llm import (
     bpe,
     chunks,
     exact_dedup,
+    kdtree,
     mixing,
+    periodic,
     preference,
     quality,
     resampling,
     simhash,
     templates,
     toxicity,
+    trie,
 )
 from coppice.llm.text import stored
 
@@ -84,6 +87,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.highest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_planted_repeats(table(spark, sf_dir, "documents"))
+    return periodic.digested(periodic.period_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -97,5 +113,8 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_quality_classifier,
         op10_simhash,
+        op11_exact_topk,
+        op12_prefix_trie,
+        op13_periodic_runs,
     )
 }
