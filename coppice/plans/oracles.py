@@ -239,6 +239,12 @@ ORACLES: dict[str, str] = {
                coalesce(bought_id, first_id)::VARCHAR AS run_id,
                'models/' || coalesce(bought_id, first_id) AS source
         FROM models""",
+    "concurrent_versions": """
+        SELECT 'user-' || user_id AS name,
+               string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS writers,
+               count(DISTINCT event_type) AS n_versions, count(DISTINCT event_type) AS n_numbers,
+               count(DISTINCT event_type) AS last_version
+        FROM events GROUP BY user_id""",
     "run_params": """
         SELECT o_orderkey::VARCHAR AS run_id, 'o_orderstatus' AS key, o_orderstatus AS value
         FROM orders

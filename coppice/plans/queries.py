@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -345,6 +346,30 @@ def version_at_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.at_stage()
 
 
+def concurrent_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One writer per event type, all at once, each registering its users' models."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
+    kinds = sorted(r["event_type"] for r in events.select("event_type").distinct().collect())
+    root = scratch_path(spark, "registry")
+
+    def register(kind: str) -> None:
+        user = F.concat(F.lit("user-"), F.col("user_id").cast("string"))
+        models = events.filter(F.col("event_type") == kind).select(
+            user.alias("name"), F.lit(kind).alias("run_id"), F.lit(kind).alias("source")
+        )
+        ModelRegistry(spark, root).register(models)
+
+    with ThreadPoolExecutor(len(kinds)) as pool:
+        list(pool.map(register, kinds))
+    versions = ModelRegistry(spark, root).versions()
+    return versions.groupBy("name").agg(
+        F.array_join(F.sort_array(F.collect_set("run_id")), ",").alias("writers"),
+        F.count("version").alias("n_versions"),
+        F.count_distinct("version").alias("n_numbers"),
+        F.max("version").alias("last_version"),
+    )
+
+
 def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
     orders = table(spark, sf_dir, "orders").select(
@@ -677,6 +702,7 @@ QUERIES: dict[str, Query] = {
     "register_version": register_version,
     "stage_change": stage_change,
     "version_at_stage": version_at_stage,
+    "concurrent_versions": concurrent_versions,
     "run_params": run_params,
     "run_metrics": run_metrics,
     "quality_features": quality_features,

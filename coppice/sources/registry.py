@@ -1,20 +1,24 @@
 """Model versions, their stages, and run parameters and metrics, kept as append-only tables.
 
 Every call appends rows for whole tables of models as well as for a single one. Numbers are given as
-``max + 1`` without a lock: let one job write to a registry at a time.
+``max + 1`` of the table as the call found it, and the rows count only if no other call has committed
+in between; otherwise they are made again. So several jobs may write to one registry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import random
+import time
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coppice.functions.columns import equals_all
 from coppice.operators.rows import latest_per_key
+from coppice.sources.commits import CommitLog, Snapshot
 
 SCHEMAS = {
     "model_versions": "name string, version bigint, run_id string, source string",
@@ -24,10 +28,22 @@ SCHEMAS = {
 }
 
 
+#: Commits after which the data folders of a table are merged.
+MERGE_AFTER = 64
+
+#: Times a call makes its rows anew before it gives up, and the longest wait in between, in seconds.
+ATTEMPTS = 100
+LONGEST_WAIT = 2.0
+
+
 class VersionNotFound(LookupError):
     """No version of the model is at the stage."""
 
 
+class CommitConflict(RuntimeError):
+    """Other writers were faster every time."""
+
+
 @dataclass(frozen=True)
 class ModelVersion:
     name: str
@@ -38,25 +54,69 @@ class ModelVersion:
 
 
 class ModelRegistry:
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet") -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, fmt: str = "parquet", merge_after: int = MERGE_AFTER
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self.merge_after = merge_after
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _read(self, table: str) -> DataFrame:
+    def _log_of(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, self._path(table))
+
+    def _rows(self, table: str, at: Snapshot) -> DataFrame:
         schema = SCHEMAS[table]
-        try:
-            return self.spark.read.schema(schema).format(self.fmt).load(self._path(table))
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not at.folders:
             return self.spark.createDataFrame([], schema)
+        paths = [f"{self._path(table)}/{folder}" for folder in at.folders]
+        return self.spark.read.schema(schema).format(self.fmt).load(paths)
 
-    def _append(self, table: str, rows: DataFrame) -> None:
-        rows.write.format(self.fmt).mode("append").save(self._path(table))
+    def _read(self, table: str, commit: int | None = None) -> DataFrame:
+        return self._rows(table, self._log_of(table).snapshot(commit))
+
+    def _stored(self, table: str, rows: DataFrame) -> str:
+        """Write rows to a folder that no commit names yet."""
+        folder = f"rows={uuid.uuid4().hex}"
+        rows.write.format(self.fmt).save(f"{self._path(table)}/{folder}")
+        return folder
+
+    def _append(self, table: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Commit the rows that ``make`` derives from the table, and return them.
+
+        If another writer commits first, they are derived again from what the table is then.
+        """
+        log = self._log_of(table)
+        for attempt in range(ATTEMPTS):
+            found = log.snapshot()
+            folder = self._stored(table, make(self._rows(table, found)))
+            if log.commit(found.number + 1, [folder]):
+                if found.since_whole + 1 >= self.merge_after:
+                    self.merge(table)
+                return self._rows(table, Snapshot(found.number + 1, (folder,), 0))
+            log.discard(folder)
+            time.sleep(random.uniform(0, min(LONGEST_WAIT, 0.05 * 2**attempt)))
+        raise CommitConflict(f"{ATTEMPTS} attempts to write to {self._path(table)}")
+
+    def merge(self, table: str) -> None:
+        """Put the rows of all commits so far into one folder, which readers then start from.
+
+        Commits of other writers meanwhile keep their own folders.
+        """
+        log = self._log_of(table)
+        merged = log.snapshot()
+        folder = self._stored(table, self._rows(table, merged))
+        for _ in range(ATTEMPTS):
+            now = log.snapshot()
+            if not set(merged.folders) <= set(now.folders):
+                break  # another writer has merged them
+            later = [f for f in now.folders if f not in merged.folders]
+            if log.commit(now.number + 1, [folder, *later], whole=True):
+                return
+        log.discard(folder)
 
     def _single(self, **values: object) -> DataFrame:
         one = self.spark.range(0, 1, 1, numPartitions=1)
@@ -64,11 +124,12 @@ class ModelRegistry:
 
     # Versions
 
-    def versions(self) -> DataFrame:
-        return self._read("model_versions")
+    def versions(self, commit: int | None = None) -> DataFrame:
+        """All versions, or those that ``commit`` left."""
+        return self._read("model_versions", commit)
 
-    def register(self, models: DataFrame) -> None:
-        """Append the next version of each model in ``models(name, run_id, source)``.
+    def register(self, models: DataFrame) -> DataFrame:
+        """Append the next version of each model in ``models(name, run_id, source)``; returns them.
 
         A name given twice in one call is an error: its versions would have no order.
         """
@@ -80,26 +141,21 @@ class ModelRegistry:
             F.max("source").alias("source"),
             F.count(F.lit(1)).alias("_given"),
         )
-        last = self.versions().groupBy("name").agg(F.max("version").alias("_last"))
-        self._append(
-            "model_versions",
-            batch.join(last, "name", "left").select(
+
+        def numbered(known: DataFrame) -> DataFrame:
+            last = known.groupBy("name").agg(F.max("version").alias("_last"))
+            return batch.join(last, "name", "left").select(
                 "name",
                 (F.coalesce("_last", F.lit(0)) + 1).alias("version"),
                 once.alias("run_id"),
                 "source",
-            ),
-        )
+            )
+
+        return self._append("model_versions", numbered)
 
     def register_one(self, name: str, run_id: str, source: str) -> ModelVersion:
-        self.register(self._single(name=name, run_id=run_id, source=source))
-        row = (
-            self.versions()
-            .filter(equals_all({"name": name, "run_id": run_id}))
-            .agg(F.max("version").alias("version"))
-            .first()
-        )
-        return ModelVersion(name, row["version"], run_id, source)
+        given = self.register(self._single(name=name, run_id=run_id, source=source)).first()
+        return ModelVersion(name, given["version"], run_id, source)
 
     # Stages
 
@@ -112,16 +168,17 @@ class ModelRegistry:
         batch = changes.groupBy(*key).agg(
             F.max("stage").alias("stage"), F.count(F.lit(1)).alias("_given")
         )
-        last = self._read("model_stages").groupBy(*key).agg(F.max("seq").alias("_last"))
-        self._append(
-            "model_stages",
-            batch.join(last, key, "left").select(
+
+        def numbered(known: DataFrame) -> DataFrame:
+            last = known.groupBy(*key).agg(F.max("seq").alias("_last"))
+            return batch.join(last, key, "left").select(
                 "name",
                 F.col("version").cast("bigint").alias("version"),
                 once.alias("stage"),
                 (F.coalesce("_last", F.lit(0)) + 1).alias("seq"),
-            ),
-        )
+            )
+
+        self._append("model_stages", numbered)
 
     def set_stage(self, name: str, version: int, stage: str) -> None:
         known = self.versions().filter(equals_all({"name": name, "version": version}))
@@ -172,13 +229,14 @@ class ModelRegistry:
             .groupBy(*key)
             .agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("_given"))
         )
-        last = self._read(table).groupBy(*key).agg(F.max("seq").alias("_last"))
-        self._append(
-            table,
-            batch.join(last, key, "left").select(
+
+        def numbered(known: DataFrame) -> DataFrame:
+            last = known.groupBy(*key).agg(F.max("seq").alias("_last"))
+            return batch.join(last, key, "left").select(
                 *key, once.alias("value"), (F.coalesce("_last", F.lit(0)) + 1).alias("seq")
-            ),
-        )
+            )
+
+        self._append(table, numbered)
 
     def log_version_metrics(self, name: str, metrics: DataFrame) -> None:
         """Append ``metrics(model_version, key, value)`` under the run of each version."""

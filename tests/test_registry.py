@@ -1,9 +1,13 @@
 """Model versions, stages, runs, and model files."""
 
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coppice.sources.commits import CommitLog
 from coppice.sources.models import check_contract
 from coppice.sources.registry import ModelRegistry, VersionNotFound
 from coppice.sources.tables import TableRef, rows_to_table
@@ -141,3 +145,91 @@ def test_the_last_logged_value_wins_whatever_the_clock_says(spark, tmp_path):
             spark.createDataFrame([("r", "k", value)], "run_id string, key string, value double")
         )
     assert [r["value"] for r in registry.metrics().collect()] == [1.0]
+
+
+def in_threads(jobs):
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
+def test_eight_writers_give_versions_one_to_eight(spark):
+    root = scratch_path(spark, "registry")
+    given = in_threads(
+        [lambda i=i: ModelRegistry(spark, root).register_one("forest", f"r{i}", f"p{i}") for i in range(8)]
+    )
+    registry = ModelRegistry(spark, root)
+    assert sorted(v.version for v in given) == list(range(1, 9))
+    rows = {(r["version"], r["run_id"], r["source"]) for r in registry.versions().collect()}
+    assert rows == {(v.version, v.run_id, v.source) for v in given} and registry.versions().count() == 8
+
+
+def test_no_stage_of_two_writers_is_lost(spark):
+    root = scratch_path(spark, "registry")
+    registry = ModelRegistry(spark, root)
+    registry.register_one("forest", "r", "p")
+    in_threads(
+        [lambda s=s: ModelRegistry(spark, root).set_stage("forest", 1, s) for s in ("a", "b", "c", "d")]
+    )
+    events = registry._read("model_stages").collect()
+    assert sorted(e["seq"] for e in events) == [1, 2, 3, 4]
+    assert {e["stage"] for e in events} == {"a", "b", "c", "d"}
+    last = max(events, key=lambda e: e["seq"])
+    assert [r["stage"] for r in registry.current_stages().collect()] == [last["stage"]]
+
+
+def test_a_stopped_writer_leaves_nothing_visible(spark, registry):
+    registry.register_one("forest", "r1", "p1")
+    lost = registry._single(name="forest", version=2, run_id="r2", source="p2")
+    registry._stored("model_versions", lost)
+    CommitLog(spark, f"{registry.root}/model_versions")._put("_half", "{")
+    assert registry.versions().count() == 1
+    assert registry.register_one("forest", "r3", "p3").version == 2
+    folder = Path(registry.root.removeprefix("file:")) / "model_versions"
+    assert len(list(folder.glob("rows=*"))) == 3
+
+
+def test_a_number_is_taken_once(spark):
+    log = CommitLog(spark, scratch_path(spark, "log"))
+    taken = in_threads([lambda i=i: log.commit(1, [f"f{i}"]) for i in range(16)])
+    assert sum(taken) == 1
+    assert log.snapshot().folders == (f"f{taken.index(True)}",)
+    assert log.commit(2, ["g"]) and log.snapshot(1).number == 1
+    with pytest.raises(LookupError, match="no commit 3"):
+        log.snapshot(3)
+
+
+def test_merged_commits_keep_rows_numbers_and_history(spark):
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"), merge_after=3)
+    for i in range(7):
+        registry.register_one("forest", f"r{i}", f"p{i}")
+    assert sorted(r["version"] for r in registry.versions().collect()) == list(range(1, 8))
+    log = CommitLog(spark, f"{registry.root}/model_versions")
+    assert len(log.snapshot().folders) < 4
+    assert [registry.versions(commit=n).count() for n in range(4)] == [0, 1, 2, 3]
+
+
+def test_merging_keeps_what_others_commit_meanwhile(spark, monkeypatch):
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    registry.register_one("forest", "r1", "p1")
+    store = registry._stored
+
+    def slow(table, rows):
+        folder = store(table, rows)
+        monkeypatch.setattr(registry, "_stored", store)
+        registry.register_one("forest", "r2", "p2")
+        return folder
+
+    monkeypatch.setattr(registry, "_stored", slow)
+    registry.merge("model_versions")
+    assert sorted(r["run_id"] for r in registry.versions().collect()) == ["r1", "r2"]
+    assert registry.register_one("forest", "r3", "p3").version == 3
+
+
+def test_numbers_are_taken_by_rename_where_links_are_unknown(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.tests.link./at", f"file://{tmp_path}")
+    log = CommitLog(spark, "viewfs://tests/at/table")
+    assert log.snapshot().number == 0
+    assert [log.commit(1, ["a"]), log.commit(1, ["b"]), log.commit(2, ["b"])] == [True, False, True]
+    assert log.snapshot().folders == ("a", "b")
+    assert sorted(p.name for p in (tmp_path / "table/_commits").glob("[0-9_]*")) == [f"{n:020d}" for n in (1, 2)]
