@@ -1,4 +1,4 @@
-"""Accuracy, confusion matrices and AUC as aggregations over a scored table.
+"""Accuracy, confusion matrices, ROC curves and AUC as aggregations over a scored table.
 
 Rows without a truth or without a prediction count nowhere.
 """
@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coppice.operators.rows import running_totals
 from coppice.operators.small import join_on, localised
 
 
@@ -146,3 +147,93 @@ def roc_auc(df: DataFrame, label: str, score: str, weight: str | None = None) ->
     if weight is not None:
         evaluator.setWeightCol(weight)
     return evaluator.evaluate(_judged(df, label, score))
+
+
+def score_points(
+    df: DataFrame,
+    label: str,
+    score: str,
+    positive: object = 1,
+    by: Sequence[str] = (),
+    weight: str | None = None,
+) -> DataFrame:
+    """``(…by, score, positives, negatives)``: the rows, or weights, of each distinct score.
+
+    Equal scores are added up in every task before they move, so a score that very many rows have is
+    one row per task. A score of -0.0 counts as 0.0, and one that is not a number counts nowhere.
+    """
+    value = F.col(score).cast("double")
+    hit = F.col(label) == F.lit(positive)
+    each = F.lit(1) if weight is None else F.col(weight).cast("double")
+    return (
+        _judged(df, label, score)
+        .filter(~F.isnan(value))
+        .groupBy(*by, F.when(value == 0, 0.0).otherwise(value).alias("score"))
+        .agg(
+            F.sum(F.when(hit, each).otherwise(0)).alias("positives"),
+            F.sum(F.when(hit, 0).otherwise(each)).alias("negatives"),
+        )
+    )
+
+
+def _cumulated(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Points with the counts of their score and all above, and the totals of their group."""
+    counts = ["positives", "negatives"]
+    upto = running_totals(points, by, [F.desc("score")], counts)
+    totals = localised(
+        points.groupBy(*by).agg(*[F.sum(c).alias(f"all_{c}") for c in counts])
+    )
+    if not by:
+        upto, totals = upto.withColumn("_one", F.lit(1)), totals.withColumn("_one", F.lit(1))
+    return join_on(upto, totals, [*by] or ["_one"], "inner")
+
+
+def roc_curve(
+    df: DataFrame,
+    label: str,
+    score: str,
+    positive: object = 1,
+    by: Sequence[str] = (),
+    weight: str | None = None,
+) -> DataFrame:
+    """``(…by, threshold, fpr, tpr)`` for every distinct score, and for a threshold of infinity.
+
+    ``fpr`` and ``tpr`` are the shares of negative and positive rows whose score is at least the
+    threshold; a share of no rows is null. Groups may be model versions; each has its own curve.
+    """
+    points = localised(score_points(df, label, score, positive, by, weight))
+    cumulated = _cumulated(points, by)
+    tpr = F.try_divide("positives_upto", "all_positives").alias("tpr")
+    fpr = F.try_divide("negatives_upto", "all_negatives").alias("fpr")
+    curve = cumulated.select(*by, F.col("score").alias("threshold"), fpr, tpr)
+    groups = points.groupBy(*by).agg(
+        *[F.sum(c).alias(f"all_{c}") for c in ("positives", "negatives")]
+    )
+    zero = [
+        F.try_divide(F.lit(0.0), F.col(f"all_{c}")).alias(name)
+        for c, name in (("negatives", "fpr"), ("positives", "tpr"))
+    ]
+    starts = groups.filter("all_positives IS NOT NULL").select(
+        *by, F.lit(float("inf")).alias("threshold"), *zero
+    )
+    return curve.unionByName(starts)
+
+
+def auc_by(
+    df: DataFrame,
+    label: str,
+    score: str,
+    positive: object = 1,
+    by: Sequence[str] = (),
+    weight: str | None = None,
+) -> DataFrame:
+    """``(…by, auc)``: the area under each group's ROC curve; ties count half.
+
+    Null for a group without positive or without negative rows.
+    """
+    points = localised(score_points(df, label, score, positive, by, weight))
+    above = F.col("positives_upto") - F.col("positives") / 2
+    area = F.try_divide(
+        F.sum(F.col("negatives") * above), F.max("all_positives") * F.max("all_negatives")
+    )
+    return _cumulated(points, by).groupBy(*by).agg(area.alias("auc"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coppice.functions.hashing import content_hash, split_hash
+from coppice.operators.small import join_on, localised
 from coppice.sources.workspace import scratch_path, shared_dir
 
 COPIES_PER_ROW = 100_000
@@ -66,6 +67,36 @@ def numbered(df: DataFrame, output: str = "position") -> DataFrame:
     return rows.join(starts, "_task").select(*df.columns, place.alias(output))
 
 
+def running_totals(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], values: Sequence[str]
+) -> DataFrame:
+    """Add ``<value>_upto``, the sum over the rows of the group up to and with this one.
+
+    The rows are placed by ranges of group and order and written once; sums run within a range, and
+    what a group brings from the ranges before is added from a table with a row for each group and
+    range. So no task holds more than a range, whatever the size of a group. ``order`` must leave no
+    ties within a group that matter.
+    """
+    by = [*groups, *order]
+    path = scratch_path(df.sparkSession, "ranges")
+    placed = df.repartitionByRange(*by) if by else df
+    placed.sortWithinPartitions(*by).withColumns(
+        {"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
+    ).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    within = Window.partitionBy("_range", *groups).orderBy("_at")
+    sums = {f"{v}_upto": F.sum(v).over(within) for v in values}
+
+    totals = rows.groupBy("_range", *groups).agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        "_range", *groups, *[F.sum(f"_{v}").over(earlier).alias(f"_{v}") for v in values]
+    ).filter(F.col(f"_{values[0]}").isNotNull())
+    joined = join_on(rows.withColumns(sums), localised(before), ["_range", *groups], "left")
+    added = {f"{v}_upto": F.col(f"{v}_upto") + F.coalesce(f"_{v}", F.lit(0)) for v in values}
+    return joined.withColumns(added).select(*df.columns, *added)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 

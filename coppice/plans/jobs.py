@@ -35,6 +35,10 @@ from coppice.sources.tables import TableRef
 from coppice.sources.workspace import shared_dir
 
 ACCURACY = "Accuracy"
+POSITIVE_SCORE = "positive_score"
+
+#: Partitions of a scoring history.
+HISTORY = (("model_name", "string"), ("model_version", "bigint"), ("batch", "string"))
 
 
 @dataclass(frozen=True)
@@ -183,6 +187,8 @@ def score(
     mode: str = "overwrite",
     keep: Sequence[str] | None = None,
     truth: bool = False,
+    batch: str | None = None,
+    positive: str | None = None,
 ) -> ModelVersion:
     """Score a table with the model at a stage and write it with the model's name and version.
 
@@ -190,23 +196,48 @@ def score(
     rows that are to be judged. ``keep`` limits the columns written, and so those read;
     ``mode="append"`` collects a scoring history. Inputs and outputs are checked against the
     signature stored with the model.
+
+    An append that runs again adds its rows again. With the name of a ``batch`` the sink is a history
+    table (:func:`history_table`), and the job takes the place of what it wrote for that batch and
+    model version before, whatever ``mode`` says. ``positive`` adds ``positive_score``, the
+    probability of that label, for ROC curves.
     """
     found = registry.lookup(name, stage)
     table = source.read(spark)
     check_contract(table, load_contract(spark, found.source))
-    scored = predict(load_model(found.source), table, truth)
+    model = load_model(found.source)
+    scored = predict(model, table, truth)
     check_contract(scored, load_contract(spark, found.source, "outputs"), "output")
     if keep is not None:
-        scored = scored.select(*keep)
-    sink.write(
-        scored.withColumns(
-            {"model_name": F.lit(found.name), "model_version": F.lit(found.version)}
-        ),
-        mode,
+        scored = scored.select(*keep, *(["probability"] if positive and "probability" not in keep else []))
+    if positive is not None:
+        scored = with_positive_score(model, scored, positive)
+        scored = scored.select(*keep, POSITIVE_SCORE) if keep is not None else scored
+    named = scored.withColumns(
+        {"model_name": F.lit(found.name), "model_version": F.lit(found.version)}
     )
+    if batch is None:
+        sink.write(named, mode)
+    else:
+        sink.replace_partitions(named.withColumn("batch", F.lit(batch)))
     return found
 
 
+def history_table(
+    path: str | None = None, name: str | None = None, fmt: str = "parquet"
+) -> TableRef:
+    """A scoring history with one partition for each model version and batch."""
+    return TableRef(path, name, fmt, HISTORY)
+
+
+def with_positive_score(model: PipelineModel, scored: DataFrame, positive: str) -> DataFrame:
+    """Add the probability of one label, by the order that this model has the labels in."""
+    labels = feat.model_labels(model)
+    if positive not in labels:
+        raise ValueError(f"the model knows no label {positive!r}; it knows {', '.join(labels)}")
+    return scored.withColumn(POSITIVE_SCORE, F.col("probability")[labels.index(positive)])
+
+
 def evaluate(
     spark: SparkSession,
     heldout: TableRef,

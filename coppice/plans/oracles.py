@@ -62,6 +62,21 @@ cells AS (
     FROM grid LEFT JOIN judged ON quality = actual AND guess = predicted
     GROUP BY actual, predicted)"""
 
+LENGTH_SCORES = """
+scored AS (
+    SELECT lang, quality, (n_chars // 50 * 50)::DOUBLE AS score
+    FROM labels JOIN documents USING (doc_id)),
+totals AS (
+    SELECT lang, count(*) FILTER (quality = 1) AS p, count(*) FILTER (quality = 0) AS q
+    FROM scored GROUP BY lang),
+points AS (
+    SELECT lang, score, count(*) FILTER (quality = 1) AS pos, count(*) FILTER (quality = 0) AS neg
+    FROM scored GROUP BY lang, score),
+upto AS (
+    SELECT *, sum(pos) OVER w AS pos_upto, sum(neg) OVER w AS neg_upto
+    FROM points JOIN totals USING (lang)
+    WINDOW w AS (PARTITION BY lang ORDER BY score DESC))"""
+
 USER_MODELS = """
 models AS (
     SELECT 'user-' || user_id AS name, min(event_id) AS first_id,
@@ -215,6 +230,20 @@ ORACLES: dict[str, str] = {
                    (count(*) FILTER (quality = 0))::DOUBLE AS q
             FROM ranked)
         SELECT round((places - p * (p + 1) / 2) / (p * q), 6)::DOUBLE AS auc FROM parts""",
+    "roc_curve": f"""
+        WITH {LENGTH_SCORES}
+        SELECT lang, score AS threshold, round(neg_upto / nullif(q, 0)::DOUBLE, 6)::DOUBLE AS fpr,
+               round(pos_upto / nullif(p, 0)::DOUBLE, 6)::DOUBLE AS tpr
+        FROM upto
+        UNION ALL
+        SELECT lang, 'inf'::DOUBLE, CASE WHEN q > 0 THEN 0.0::DOUBLE END,
+               CASE WHEN p > 0 THEN 0.0::DOUBLE END
+        FROM totals""",
+    "auc_by_group": f"""
+        WITH {LENGTH_SCORES}
+        SELECT lang, round(sum(neg * (pos_upto - pos / 2.0::DOUBLE))
+                           / nullif(max(p) * max(q), 0), 6)::DOUBLE AS auc
+        FROM upto GROUP BY lang""",
     "latest_per_key": """
         SELECT event_id, ts, user_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type
@@ -283,6 +312,20 @@ ORACLES: dict[str, str] = {
                CASE quality WHEN 0 THEN 'poor' WHEN 1 THEN 'good' END AS actual_name,
                count(*) AS n, true AS beats_chance
         FROM flagged WHERE NOT is_train GROUP BY quality""",
+    "roc_versions": f"""{HELDOUT}
+        SELECT unnest([1, 2])::BIGINT AS model_version, 0.0::DOUBLE AS first_fpr,
+               1.0::DOUBLE AS last_tpr, true AS ties_combined,
+               count(*) FILTER (quality = 1) AS n_positive,
+               count(*) FILTER (quality = 0) AS n_negative, true AS beats_chance
+        FROM flagged WHERE NOT is_train""",
+    "append_again": f"""{HELDOUT}
+        SELECT doc_id, 1::BIGINT AS model_version, 'half-' || doc_id % 2 AS batch,
+               quality AS actual, true AS in_classes
+        FROM flagged WHERE NOT is_train""",
+    "evaluate_increment": f"""{HELDOUT}
+        SELECT 1::BIGINT AS model_version, quality AS actual, count(*) AS n,
+               '2/0/1' AS batches_read, true AS equals_full
+        FROM flagged WHERE NOT is_train GROUP BY quality""",
     "model_signature": " UNION ALL ".join(
         [f"SELECT 'inputs' AS side, '{name}' AS name, 'double' AS type" for name in INPUTS]
         + [

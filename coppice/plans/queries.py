@@ -28,6 +28,7 @@ from coppice.operators.split import stratified_split as split_by_class
 from coppice.operators.weights import balanced_weights as with_balanced_weights
 from coppice.plans import jobs
 from coppice.plans.documents import INPUTS, KEYS, LABEL, labelled_hashes, labelled_shapes
+from coppice.plans.history import counts_table, evaluate_new_batches
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
 from coppice.sources.models import load_contract, load_model, save_model
 from coppice.sources.registry import ModelRegistry
@@ -296,6 +297,23 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.round(F.lit(area), 6).alias("auc"))
 
 
+def _length_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document lengths in steps of 50 as scores for quality, so that many are tied."""
+    step = (F.floor(F.col("n_chars") / 50) * 50).cast("double").alias("score")
+    lengths = table(spark, sf_dir, "documents").select("doc_id", "lang", step)
+    return table(spark, sf_dir, "labels").select("doc_id", "quality").join(lengths, "doc_id")
+
+
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve = metrics.roc_curve(_length_scores(spark, sf_dir), "quality", "score", by=["lang"])
+    return _rounded(curve, "fpr", "tpr")
+
+
+def auc_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    areas = metrics.auc_by(_length_scores(spark, sf_dir), "quality", "score", by=["lang"])
+    return _rounded(areas, "auc")
+
+
 # Versions, stages, runs
 
 
@@ -610,6 +628,102 @@ def evaluate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _half(heldout: DataFrame, batch: int) -> DataFrame:
+    return heldout.filter(F.pmod(F.col("doc_id"), F.lit(2)) == batch)
+
+
+def _scored_history(spark: SparkSession, sf_dir: str) -> tuple[ModelRegistry, TableRef, list[TableRef]]:
+    """A history table with two batches, and their inputs; the first batch was scored twice."""
+    registry, heldout = _train_shapes(spark, sf_dir, DOCUMENT_FOREST)
+    history = jobs.history_table(scratch_path(spark, "history"))
+    inputs = []
+    for i in (0, 1):
+        part = TableRef(path=scratch_path(spark, "batch"))
+        part.write(_half(heldout.read(spark), i))
+        inputs.append(part)
+    for i in (0, 1, 0):
+        _score_batch(spark, registry, history, inputs, i)
+    return registry, history, inputs
+
+
+def _score_batch(
+    spark: SparkSession, registry: ModelRegistry, history: TableRef, inputs: list[TableRef], i: int
+) -> None:
+    keep = ["doc_id", feat.ACTUAL_LABEL, feat.PREDICTED_LABEL]
+    jobs.score(
+        spark, inputs[i], history, registry, MODEL, STAGE, keep=keep, truth=True, batch=f"half-{i}"
+    )
+
+
+def roc_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC curves of two versions that code the classes in other orders, from one history."""
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    shapes, history = _shape_table(spark, sf_dir), jobs.history_table(scratch_path(spark, "history"))
+    for order in ("alphabetAsc", "frequencyDesc"):
+        settings = DOCUMENT_FOREST.but(trees=5, label_order=order)
+        heldout = _train_version(spark, registry, shapes, settings)
+        keep = [feat.ACTUAL_LABEL]
+        jobs.score(
+            spark, heldout, history, registry, MODEL, STAGE, keep=keep, truth=True, batch="heldout",
+            positive="1",
+        )
+    scored, by = history.read(spark), ["model_version"]
+    judged = dict(label=feat.ACTUAL_LABEL, score=jobs.POSITIVE_SCORE, positive="1", by=by)
+    curve = metrics.roc_curve(scored, **judged)
+    ends = curve.groupBy(*by).agg(
+        F.min("fpr").alias("first_fpr"),
+        F.max("tpr").alias("last_tpr"),
+        (F.count(F.lit(1)) == F.count_distinct("threshold")).alias("ties_combined"),
+    )
+    sizes = scored.groupBy(*by).agg(
+        F.count_if(F.col(feat.ACTUAL_LABEL) == "1").alias("n_positive"),
+        F.count_if(F.col(feat.ACTUAL_LABEL) == "0").alias("n_negative"),
+    )
+    areas = metrics.auc_by(scored, **judged).select(*by, (F.col("auc") > 0.5).alias("beats_chance"))
+    return ends.join(sizes, by).join(areas, by)
+
+
+def append_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that was scored twice is there once."""
+    _, history, _ = _scored_history(spark, sf_dir)
+    return history.read(spark).select(
+        "doc_id",
+        "model_version",
+        "batch",
+        F.col(feat.ACTUAL_LABEL).cast("int").alias("actual"),
+        F.col(feat.PREDICTED_LABEL).isin(QUALITY_CLASSES).alias("in_classes"),
+    )
+
+
+def evaluate_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three evaluations of a growing history: two batches, nothing new, one scored again."""
+    registry, history, inputs = _scored_history(spark, sf_dir)
+    counts = counts_table(scratch_path(spark, "counts"))
+
+    def judge() -> tuple[int, DataFrame]:
+        found = evaluate_new_batches(spark, history, counts, registry, MODEL)
+        return found.batches_read, found.evaluation.counts
+
+    reads = [judge()[0], judge()[0]]
+    _score_batch(spark, registry, history, inputs, 1)
+    last, cells = judge()
+    whole = metrics.confusion_counts(
+        history.read(spark), feat.ACTUAL_LABEL, feat.PREDICTED_LABEL, ["model_version"]
+    )
+    added = cells.select(*whole.columns)
+    equal = added.exceptAll(whole).isEmpty() and whole.exceptAll(added).isEmpty()
+    return (
+        cells.groupBy("model_version", F.col("actual").cast("int").alias("actual"))
+        .agg(F.sum("n").alias("n"))
+        .withColumns(
+            {
+                "batches_read": F.lit("/".join(map(str, [*reads, last]))),
+                "equals_full": F.lit(equal),
+            }
+        )
+    )
+
+
 def model_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides of the signature stored with a model, read back."""
     registry, _ = _train_shapes(spark, sf_dir, DOCUMENT_FOREST.but(trees=2, depth=2))
@@ -698,6 +812,8 @@ QUERIES: dict[str, Query] = {
     "confusion_named": confusion_named,
     "confusion_by_group": confusion_by_group,
     "roc_auc": roc_auc,
+    "roc_curve": roc_curve,
+    "auc_by_group": auc_by_group,
     "latest_per_key": latest_event,
     "register_version": register_version,
     "stage_change": stage_change,
@@ -714,6 +830,9 @@ QUERIES: dict[str, Query] = {
     "feature_ranking": feature_ranking,
     "evaluate_job": evaluate_job,
     "evaluate_history": evaluate_history,
+    "roc_versions": roc_versions,
+    "append_again": append_again,
+    "evaluate_increment": evaluate_increment,
     "model_signature": model_signature,
     "text_logistic": text_logistic,
     "linear_svc": linear_svc,

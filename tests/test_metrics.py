@@ -1,10 +1,13 @@
 """Accuracy, matrices and AUC: the recorded 45-row result, and the edges."""
 
+import random
+
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from coppice.operators import metrics
+from coppice.operators.rows import running_totals
 from coppice.operators.weights import balanced_weights
 
 # The recorded result on 45 held-out rows, (truth, prediction): count.
@@ -162,3 +165,71 @@ def test_auc_passes_over_nulls(spark):
     rows = [(1.0, 0.9), (0.0, 0.1), (None, 0.5), (1.0, None)]
     df = spark.createDataFrame(rows, "label double, score double")
     assert metrics.roc_auc(df, "label", "score") == 1.0
+
+
+def slow_curve(rows):
+    """Curve and area of ``(label, score, weight)`` by definition."""
+    rows = [r for r in rows if r[0] is not None and r[1] is not None and r[1] == r[1]]
+    sides = {y: [(s, w) for t, s, w in rows if t == y] for y in (0, 1)}
+    total = {y: sum(w for _, w in side) for y, side in sides.items()}
+
+    def share(y, threshold):
+        return sum(w for s, w in sides[y] if s >= threshold) / total[y] if total[y] else None
+
+    thresholds = {float("inf"), *(s + 0.0 for _, s, _ in rows)} if rows else set()
+    curve = {(t, share(0, t), share(1, t)) for t in thresholds}
+    wins = sum(w * v * ((s > t) + (s == t) / 2) for s, w in sides[1] for t, v in sides[0])
+    return curve, wins / (total[0] * total[1]) if all(total.values()) else None
+
+
+def rounded(values):
+    return tuple(v if v is None else round(v, 9) for v in values)
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_roc_curves_by_definition(spark, weight):
+    """Ties, one score that most rows have, nulls, NaN, -0.0, one-sided groups, spread over ranges."""
+    rng = random.Random(3)
+    rows = [("v1", rng.randrange(2), rng.randrange(60) / 7, 1.0 + rng.randrange(3)) for _ in range(800)]
+    rows += [("v2", rng.randrange(2), 0.5, 1.0) for _ in range(500)] + [("v2", 1, 0.25, 2.0)]
+    rows += [("v3", 1, 0.0, 1.0), ("v3", 1, -0.0, 1.0), (None, 0, 1.0, 1.0), (None, 1, 2.0, 1.0)]
+    rows += [("v1", None, 0.1, 1.0), ("v1", 1, None, 1.0), ("v1", 1, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "v string, y int, s double, w double").repartition(5)
+    curves = metrics.roc_curve(df, "y", "s", by=["v"], weight=weight).collect()
+    areas = {r["v"]: r["auc"] for r in metrics.auc_by(df, "y", "s", by=["v"], weight=weight).collect()}
+    for v in ("v1", "v2", "v3", None):
+        own = [(y, s, w if weight else 1) for g, y, s, w in rows if g == v]
+        curve, area = slow_curve(own)
+        got = [rounded((r["threshold"], r["fpr"], r["tpr"])) for r in curves if r["v"] == v]
+        assert len(got) == len(curve) and set(got) == {rounded(c) for c in curve}
+        assert rounded([areas[v]]) == rounded([area])
+    one = metrics.roc_curve(df, "y", "s", weight=weight)
+    assert one.count() == len(slow_curve([r[1:] for r in rows])[0])
+    assert metrics.roc_curve(df.limit(0), "y", "s", by=["v"]).count() == 0
+
+
+def test_area_equals_the_evaluator_of_spark(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    df = labels.join(documents, "doc_id").selectExpr("double(quality) AS y", "double(n_chars) AS s")
+    area = metrics.auc_by(df, "y", "s").first()["auc"]
+    assert area == pytest.approx(metrics.roc_auc(df, "y", "s"), abs=1e-12)
+
+
+def test_a_hot_score_moves_as_one_row_per_task(spark):
+    df = spark.range(0, 200_000, 1, 8).selectExpr("id % 2 AS y", "CASE WHEN id % 3 = 0 THEN id ELSE 7 END AS s")
+    plan = metrics.score_points(df, "y", "s")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")
+    curve = metrics.roc_curve(df, "y", "s")._jdf.queryExecution().optimizedPlan().toString()
+    for window in [line for line in curve.split("\n") if "Window" in line]:
+        assert "_range" in window
+
+
+def test_running_totals_over_ranges(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice("ab"), i, rng.randrange(9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, i int, n long").repartition(7)
+    got = running_totals(df, ["g"], [F.desc("i")], ["n"]).collect()
+    for r in got:
+        assert r["n_upto"] == sum(n for g, i, n in rows if g == r["g"] and i >= r["i"])
+    assert len(got) == 500
