@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,3 +29,8 @@ def equals_all(values: Mapping[str, object]) -> Column:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where a lambda in ``body`` names it."""
+    return F.transform(F.array(value), body)[0]

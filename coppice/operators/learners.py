@@ -1,4 +1,4 @@
-"""Estimators by name, all of them Spark ML's own."""
+"""Estimators by name: Spark ML's own, and one put together from them."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coppice.operators.features import FEATURES, INDEXED_FEATURES, INDEXED_LABEL
+from coppice.operators.kernels import KernelSVC
 from coppice.operators.rows import ranked
 from coppice.settings import TrainSettings
 
@@ -69,10 +70,28 @@ def linear_svc(settings: TrainSettings, features: str = FEATURES) -> Estimator:
     )
 
 
+def kernel_svc(settings: TrainSettings, features: str = FEATURES) -> Estimator:
+    """Support vector machine with a Gaussian kernel, any number of classes, with probabilities."""
+    return _weighted(
+        KernelSVC(
+            labelCol=INDEXED_LABEL,
+            featuresCol=features,
+            maxIter=settings.max_iter,
+            regParam=settings.reg_param,
+            aggregationDepth=settings.aggregation_depth,
+            features=settings.kernel_features,
+            gamma=settings.gamma,
+            seed=settings.seed,
+        ),
+        settings,
+    )
+
+
 LEARNERS: dict[str, Callable[..., Estimator]] = {
     "forest": forest,
     "logistic": logistic,
     "linear_svc": linear_svc,
+    "kernel_svc": kernel_svc,
 }
 
 

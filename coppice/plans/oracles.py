@@ -344,6 +344,7 @@ ORACLES: dict[str, str] = {
     "linear_svc": f"""{HELDOUT}
         SELECT doc_id, quality, true AS in_classes, true AS beats_constant
         FROM flagged WHERE NOT is_train""",
+    "kernel_svc": f"{HELDOUT} {SCORED}",
     "harness": f"""{HELDOUT}
         SELECT quality::DOUBLE AS y_test, count(*) AS n, true AS beats_constant
         FROM flagged WHERE NOT is_train GROUP BY quality""",

@@ -49,6 +49,7 @@ DOCUMENT_FOREST = SMALL_FOREST.but(class_weight="balanced", seed=21)
 DOCUMENT_FULL_FOREST = FULL_FOREST
 DOCUMENT_TEXT = TrainSettings()
 DOCUMENT_LINEAR = TrainSettings(class_weight="balanced")
+DOCUMENT_KERNEL = DOCUMENT_LINEAR.but(max_iter=30, kernel_features=128)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -766,6 +767,11 @@ def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", LABEL, _in_classes(), _beats_constant(scored))
 
 
+def kernel_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _harness(spark, sf_dir, "kernel_svc", DOCUMENT_KERNEL)
+    return scored.select("doc_id", LABEL, _in_classes(), _prob_ok(), _beats_constant(scored))
+
+
 def harness(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _harness(spark, sf_dir, "logistic", DOCUMENT_LINEAR)
     counts = jobs.truth_and_prediction(scored).groupBy("y_test").agg(F.count("y_pred").alias("n"))
@@ -836,5 +842,6 @@ QUERIES: dict[str, Query] = {
     "model_signature": model_signature,
     "text_logistic": text_logistic,
     "linear_svc": linear_svc,
+    "kernel_svc": kernel_svc,
     "harness": harness,
 }

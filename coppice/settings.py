@@ -44,7 +44,8 @@ class TrainSettings:
     random numbers by partition. ``max_memory_mb`` bounds the node statistics of one pass: more
     memory means fewer passes for deep trees or many columns. ``aggregation_depth`` is the depth of
     the tree in which the linear learners add up gradients; over very many partitions or hashed
-    slots take 3 or 4, so that no task gathers too many of them.
+    slots take 3 or 4, so that no task gathers too many of them. ``kernel_features`` random features
+    stand for the Gaussian kernel of width ``gamma``, 0 meaning one over the number of inputs.
     """
 
     fraction: float = 0.7
@@ -67,6 +68,8 @@ class TrainSettings:
     max_bins: int = 32
     max_memory_mb: int = 256
     aggregation_depth: int = 2
+    kernel_features: int = 256
+    gamma: float = 0.0
 
     def __post_init__(self) -> None:
         if not 0.0 < self.fraction < 1.0:
