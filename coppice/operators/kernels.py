@@ -39,6 +39,10 @@ MAPPED = "_mapped"
 RAW = "rawPrediction"
 PROBABILITY = "probability"
 
+#: Where the linear machines stop: margins need not be exact, as the sigmoids are fitted to them.
+TOLERANCE = 1e-3
+MACHINES_AT_ONCE = 8
+
 #: One row in so many is kept for the probabilities.
 CALIBRATION_SHARE = 4
 
@@ -154,19 +158,23 @@ class KernelSVC(
         )
         mapped = mapping.transform(scaler.transform(dataset))
         held = F.pmod(F.xxhash64(vector_to_array(self.getFeaturesCol())), F.lit(CALIBRATION_SHARE)) == 0
-        linear = LinearSVC(
-            maxIter=self.getMaxIter(), regParam=self.getRegParam(),
-            aggregationDepth=self.getAggregationDepth(),
+        machines = LinearSVC(
+            featuresCol=MAPPED, labelCol=label, maxIter=self.getMaxIter(), tol=TOLERANCE,
+            regParam=self.getRegParam(), aggregationDepth=self.getAggregationDepth(),
         )
-        machines = OneVsRest(
-            classifier=linear, featuresCol=MAPPED, labelCol=label, rawPredictionCol=RAW
-        )
+        classes = int(dataset.agg(F.max(label)).first()[0] or 0) + 1
+        if classes > 2:
+            # With two classes one machine has the margins of both.
+            machines = OneVsRest(
+                classifier=machines, featuresCol=MAPPED, labelCol=label, rawPredictionCol=RAW,
+                parallelism=min(classes, MACHINES_AT_ONCE),
+            )
         if weight:
             machines.setWeightCol(*weight)
         fitted = machines.fit(mapped.filter(~held).select(MAPPED, label, *weight))
         margins = fitted.transform(mapped.filter(held).select(MAPPED, label))
         margins = localised(margins.select(F.col(label).alias("label"), vector_to_array(RAW).alias("margins")))
-        lines = [self._line(margins, k) for k in range(len(fitted.models))]
+        lines = [self._line(margins, k) for k in range(max(classes, 2))]
         calibration = MarginCalibration(slopes=[a for a, _ in lines], intercepts=[b for _, b in lines])
         return PipelineModel([scaler, mapping, fitted, calibration])
 

@@ -49,7 +49,7 @@ DOCUMENT_FOREST = SMALL_FOREST.but(class_weight="balanced", seed=21)
 DOCUMENT_FULL_FOREST = FULL_FOREST
 DOCUMENT_TEXT = TrainSettings()
 DOCUMENT_LINEAR = TrainSettings(class_weight="balanced")
-DOCUMENT_KERNEL = DOCUMENT_LINEAR.but(max_iter=30, kernel_features=128)
+DOCUMENT_KERNEL = DOCUMENT_LINEAR.but(kernel_features=128)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from coppice.settings import TrainSettings
 from coppice.sources.models import load_model, save_model
 from coppice.sources.workspace import scratch_path
 
-SETTINGS = TrainSettings(max_iter=60, gamma=1.0, kernel_features=200)
+SETTINGS = TrainSettings(max_iter=8, gamma=1.0, kernel_features=100)
 
 
 def rings(spark, radii, n=300):
