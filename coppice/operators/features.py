@@ -19,7 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coppice.operators.small import localised, join_on
+from coppice.operators.rows import numbered
+from coppice.operators.small import join_on, localised
 
 Stage = Estimator | Transformer
 
@@ -134,3 +135,60 @@ def without_label(model: PipelineModel) -> PipelineModel:
 def attach_names(df: DataFrame, label: str, names: DataFrame) -> DataFrame:
     """Left join to a ``(label, name, …)`` table with one row per class."""
     return join_on(df, localised(names), [label], "left")
+
+
+#: Labels of at least one row in so many are looked up by broadcast; there are no more than this.
+FREQUENT = 1000
+
+
+def label_dictionary(df: DataFrame, label: str, order: str = "alphabetAsc") -> DataFrame:
+    """``(label, index, n)`` for any number of labels, in the order of :func:`label_indexer`.
+
+    Labels are counted in every task before they move, and ranked by a range sort: no task and no
+    driver sees all of them. The table is stored.
+    """
+    text = F.col(label).cast("string").alias("label")
+    counts = df.filter(F.col(label).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n"))
+    kinds = {
+        "alphabetAsc": [F.asc("label")],
+        "alphabetDesc": [F.desc("label")],
+        "frequencyDesc": [F.desc("n"), F.asc("label")],
+        "frequencyAsc": [F.asc("n"), F.asc("label")],
+    }
+    placed = numbered(localised(counts).orderBy(*kinds[order]), "_place")
+    index = (F.col("_place") - 1).cast("double").alias("index")
+    return localised(placed.select("label", index, "n"))
+
+
+def with_label_index(
+    df: DataFrame,
+    dictionary: DataFrame,
+    label: str,
+    output: str = INDEXED_LABEL,
+    invalid: str = "error",
+) -> DataFrame:
+    """Add the index of every row's label, for dictionaries of any size.
+
+    A label that many rows have would fill one task of a join. Labels of at least one row in
+    ``FREQUENT`` of those counted, and there are at most ``FREQUENT`` of these, are joined by broadcast;
+    the other rows, none of which has more than that share, meet the rest of the dictionary by shuffle.
+    A null or unknown label is an error, or gets the next index (``keep``), or goes (``skip``).
+    """
+    total, size = dictionary.agg(F.sum("n"), F.count(F.lit(1))).first()
+    frequent = localised(dictionary.filter(F.col("n") * FREQUENT >= F.lit(total or 0)))
+    names = {"label": "_known", "index": output}
+    sides = [part.select(*[F.col(k).alias(v) for k, v in names.items()]) for part in (frequent, dictionary)]
+    is_label = F.col(label).cast("string") == F.col("_known")
+    often = df.join(F.broadcast(sides[0]), is_label, "left")
+    found = often.filter(F.col("_known").isNotNull())
+    rest = often.filter(F.col("_known").isNull()).drop("_known", output)
+    indexed = found.unionByName(rest.join(sides[1], is_label, "left"))
+    if invalid == "skip":
+        indexed = indexed.filter(F.col("_known").isNotNull())
+    elif invalid == "keep":
+        indexed = indexed.withColumn(output, F.coalesce(output, F.lit(float(size))))
+    else:
+        message = F.concat(F.lit("unknown label: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))
+        checked = F.when(F.col("_known").isNotNull(), F.col(output)).otherwise(F.raise_error(message))
+        indexed = indexed.withColumn(output, checked)
+    return indexed.select(*df.columns, output)

@@ -196,3 +196,64 @@ def _split_ties(
 def sides(flagged: DataFrame, flag: str = "is_train") -> tuple[DataFrame, DataFrame]:
     """Training and held-out rows of a flagged table."""
     return flagged.filter(F.col(flag)).drop(flag), flagged.filter(~F.col(flag)).drop(flag)
+
+
+def fold_cuts(df: DataFrame, label: str, keys: Sequence[str], folds: int, seed: int = 42) -> DataFrame:
+    """``(_class, _cuts)``: for every class the hashes after which a new fold begins, rising.
+
+    Fold boundaries lie behind the first ``floor(i·n/folds)`` rows of a class in the order of the key
+    hash. One count by class and leading hash digits finds the bucket of every boundary; only those
+    buckets are counted hash by hash.
+    """
+    rows = df.select(F.col(label).alias("_class"), split_hash(seed, keys).alias("_hash"))
+    buckets = localised(_buckets(rows))
+    totals = buckets.groupBy("_class").agg(F.sum("_n").alias("_rows"))
+    boundary = F.transform(
+        F.sequence(F.lit(1), F.lit(folds - 1)),
+        lambda i: F.struct(i.alias("_fold"), F.floor(i * F.col("_rows") / folds).alias("_target")),
+    )
+    wanted = totals.select("_class", F.inline(boundary))
+    targets = wanted.filter("_target > 0")
+
+    def crossed(counts: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+        steps = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*by).orderBy("_step")))
+        before = F.col("_upto") - F.col("_n")
+        met = join_on(steps, wanted, by, "inner")
+        inside = (before < F.col("_target")) & (F.col("_target") <= F.col("_upto"))
+        return met.filter(inside).withColumn("_target", F.col("_target") - before)
+
+    coarse = localised(
+        crossed(buckets, targets, ["_class"]).select(
+            "_class", "_fold", F.col("_step").alias("_bucket"), "_target"
+        )
+    )
+    digits = hash_prefix(F.col("_hash"), BUCKET_DIGITS)
+    needed = coarse.select("_class", "_bucket").distinct()
+    inside = join_on(rows.withColumn("_bucket", digits), needed, ["_class", "_bucket"], "inner")
+    fine = inside.groupBy("_class", "_bucket", F.col("_hash").alias("_step")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    # A fold of a class with fewer rows than folds may end before the first row.
+    before = wanted.filter("_target = 0").select("_class", F.lit("").alias("_step"))
+    cuts = crossed(fine, coarse, ["_class", "_bucket"]).select("_class", "_step").unionByName(before)
+    return localised(
+        cuts.groupBy("_class").agg(F.array_sort(F.collect_list("_step")).alias("_cuts"))
+    )
+
+
+def stratified_folds(
+    df: DataFrame, label: str, keys: Sequence[str], folds: int, seed: int = 42, output: str = "fold"
+) -> DataFrame:
+    """Add a fold from 0 to ``folds - 1``, with each class spread evenly over the folds.
+
+    The table does not move: a row's fold is the number of cuts below its hash. Rows with one key
+    share a fold, which keeps copies of a row out of the test of their own training; sizes then
+    differ from even ones by the rows of a key.
+    """
+    if folds < 2:
+        raise ValueError(f"folds must be at least 2, not {folds}")
+    columns = df.columns
+    hashed = df.withColumns({"_class": F.col(label), "_hash": split_hash(seed, keys)})
+    tagged = join_on(hashed, fold_cuts(df, label, keys, folds, seed), ["_class"], "left")
+    passed = F.size(F.filter("_cuts", lambda cut: cut < F.col("_hash")))
+    return tagged.select(*columns, F.coalesce(F.when(F.col("_cuts").isNotNull(), passed), F.lit(0)).alias(output))

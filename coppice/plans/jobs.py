@@ -4,23 +4,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from itertools import takewhile
 
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, Tokenizer, VectorAssembler, VectorIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from coppice.operators import features as feat
 from coppice.operators import metrics
 from coppice.operators.learners import WEIGHT, learner
-from coppice.operators.rows import stable_layout
+from coppice.operators.rows import numbered, ranked, shuffled, stable_layout
 from coppice.operators.small import localised
-from coppice.operators.split import hash_split, sides, stratified_split
+from coppice.operators.split import hash_split, sides, stratified_folds, stratified_split
 from coppice.operators.weights import balanced_weights
 from coppice.settings import TrainSettings
 from coppice.sources.models import (
@@ -223,6 +225,102 @@ def score(
     return found
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """What became of every row: ``accepted`` with the model's columns, ``rejected`` with reasons."""
+
+    version: ModelVersion
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def outcome_table(
+    path: str | None = None, name: str | None = None, fmt: str = "parquet"
+) -> TableRef:
+    """A table with one partition for scored rows and one for those that could not be."""
+    return TableRef(path, name, fmt, (("outcome", "string"),))
+
+
+def _tests(model: PipelineModel, truth: bool) -> dict[str, tuple[list[tuple[Column, str]], object]]:
+    """For each column that the model reads: what makes a value unusable, and a usable value."""
+    found: dict[str, tuple[list[tuple[Column, str]], object]] = {}
+    assembled = next((s for s in model.stages if isinstance(s, VectorAssembler)), None)
+    indexed = next((s for s in model.stages if isinstance(s, VectorIndexerModel)), None)
+    categories = indexed.categoryMaps if indexed is not None else {}
+    for slot, c in enumerate(assembled.getInputCols() if assembled is not None else []):
+        value = F.col(c).cast("double")
+        tests = [(F.col(c).isNull(), f"null: {c}"), (F.isnan(value), f"not a number: {c}")]
+        known = sorted(categories.get(slot, {}))
+        if known:
+            tests.append((~value.isin(*known), f"unknown: {c}"))
+        found[c] = (tests, known[0] if known else 0.0)
+    tokens = next((s for s in model.stages if isinstance(s, Tokenizer)), None)
+    if tokens is not None:
+        found[tokens.getInputCol()] = ([(F.col(tokens.getInputCol()).isNull(), f"null: {tokens.getInputCol()}")], "")
+    labels = feat.label_stage(model)
+    if truth and labels is not None:
+        c = labels.getInputCol()
+        unknown = ~F.col(c).cast("string").isin(*labels.labels)
+        found[c] = ([(F.col(c).isNull(), f"null: {c}"), (unknown, f"unknown: {c}")], labels.labels[0])
+    return found
+
+
+def score_or_reject(
+    spark: SparkSession,
+    source: TableRef,
+    sink: TableRef,
+    registry: ModelRegistry,
+    name: str,
+    stage: str,
+    truth: bool = False,
+) -> Outcome:
+    """Score the rows that can be, and keep the others with their reasons, in one pass and one write.
+
+    A null or NaN input, a category the model has not seen, and with ``truth`` a null or unknown label
+    stop :func:`score`, or make rows disappear where the pipeline skips them. Here such a row goes
+    through the model with a usable value in the place of each bad one, and is then written as it came,
+    without the model's columns. ``sink`` is an :func:`outcome_table`; accepted and rejected rows
+    together are the input.
+    """
+    found = registry.lookup(name, stage)
+    table = source.read(spark)
+    check_contract(table, load_contract(spark, found.source))
+    model = load_model(found.source)
+    tests = _tests(model, truth)
+    reasons = F.array_compact(
+        F.array(
+            *[
+                reduce(lambda rest, t: F.when(t[0], F.lit(t[1])).otherwise(rest), reversed(each), F.lit(None))
+                for each, _ in tests.values()
+            ]
+        )
+    )
+    kept = F.struct(*[F.col(c) for c in tests])
+    judged = table.withColumns({"reasons": reasons, "_given": kept})
+    usable = {
+        c: F.when(reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t, _ in each]), F.lit(value).cast(table.schema[c].dataType))
+        .otherwise(F.col(c))
+        for c, (each, value) in tests.items()
+    }
+    scored = predict(model, judged.withColumns(usable), truth)
+    good = F.size("reasons") == 0
+    own = [c for c in scored.columns if c not in judged.columns]
+    given = {c: F.col(f"_given.{c}") for c in tests}
+    outcome = F.when(good, "accepted").otherwise("rejected")
+    named = (
+        scored.withColumns({**{c: F.when(good, F.col(c)) for c in own}, **given, "outcome": outcome})
+        .drop("_given")
+        .withColumns({"model_name": F.lit(found.name), "model_version": F.lit(found.version)})
+    )
+    sink.write(named)
+    rows = sink.read(spark)
+    accepted = rows.filter("outcome = 'accepted'").drop("outcome", "reasons")
+    rejected = rows.filter("outcome = 'rejected'").select(
+        *table.columns, "reasons", "model_name", "model_version"
+    )
+    return Outcome(found, accepted, rejected)
+
+
 def history_table(
     path: str | None = None, name: str | None = None, fmt: str = "parquet"
 ) -> TableRef:
@@ -288,3 +386,83 @@ def fit_and_test(
     pipeline = tabular_pipeline(inputs, label, settings, estimator)
     scored = predict(fit(training, inputs, label, pipeline, settings), rest, truth=True)
     return scored, metrics.accuracy(scored, feat.INDEXED_LABEL, feat.PREDICTION)
+
+
+def cross_validate(
+    df: DataFrame,
+    estimator: Estimator,
+    inputs: Sequence[str],
+    label: str,
+    keys: Sequence[str],
+    settings: TrainSettings,
+    folds: int = 5,
+    at_once: int = 2,
+) -> tuple[DataFrame, DataFrame]:
+    """Fit on all folds but one and predict that one, for every fold; every row is held out once.
+
+    Returns the scored rows with their ``fold``, and ``(fold, n, accuracy)``. What the fits read is
+    stored once, with its folds; ``at_once`` fits run side by side, each on a copy of the estimator.
+    """
+    slim = df.select(*dict.fromkeys([*keys, *inputs, label]))
+    rows = localised(stratified_folds(slim, label, keys, folds, settings.split_seed))
+
+    def held_out(fold: int) -> DataFrame:
+        here = F.col("fold") == fold
+        pipeline = tabular_pipeline(inputs, label, settings, estimator.copy())
+        model = fit(rows.filter(~here), inputs, label, pipeline, settings)
+        return predict(model, rows.filter(here), truth=True)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        parts = list(pool.map(held_out, range(folds)))
+    scored = reduce(DataFrame.unionByName, parts)
+    right = (F.col(feat.INDEXED_LABEL) == F.col(feat.PREDICTION)).cast("double")
+    return scored, scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy"))
+
+
+def permutation_importance(
+    model: PipelineModel,
+    df: DataFrame,
+    inputs: Sequence[str],
+    keys: Sequence[str],
+    repeats: int = 3,
+    seed: int = 42,
+) -> DataFrame:
+    """``(feature, importance, spread)`` of any model: the accuracy lost when a column is exchanged.
+
+    Rows are numbered in the order of a key hash, and row r takes the column from the row a fixed number
+    of places further on, around the end. One join brings the inputs of that row; a row is then
+    predicted as it is and once with each column exchanged, all in one pass. ``spread`` is the
+    standard deviation over the repeats. Rows without a label count nowhere.
+    """
+    label = feat.label_stage(model).getInputCol()
+    labelled = df.filter(F.col(label).isNotNull()).select(*keys, *inputs, label)
+    placed = localised(numbered(shuffled(labelled, keys, seed), "_place"))
+    total = placed.count()
+    shifts = [max(1, total * (i + 1) // (repeats + 1)) for i in range(repeats)]
+    other = placed.select(
+        F.col("_place").alias("_from"), F.struct(*inputs).alias("_other")
+    )
+    moved = placed.select("*", F.posexplode(F.array(*[F.lit(s) for s in shifts])).alias("_repeat", "_shift"))
+    source = (F.col("_place") - 1 + F.col("_shift")) % max(1, total) + 1
+    paired = moved.withColumn("_from", source).join(other, "_from")
+    variants = [
+        F.struct(
+            F.lit(exchanged).alias("_feature"),
+            *[(F.col(f"_other.{c}") if c == exchanged else F.col(c)).alias(c) for c in inputs],
+        )
+        for exchanged in (None, *inputs)
+    ]
+    rows = paired.select(label, "_repeat", F.inline(F.array(*variants)))
+    scored = model.transform(rows)
+    right = (F.col(feat.INDEXED_LABEL) == F.col(feat.PREDICTION)).cast("double")
+    shares = localised(scored.groupBy("_repeat", "_feature").agg(F.avg(right).alias("_share")))
+    whole = shares.filter("_feature IS NULL").select("_repeat", F.col("_share").alias("_whole"))
+    lost = shares.filter("_feature IS NOT NULL").join(whole, "_repeat")
+    loss = F.col("_whole") - F.col("_share")
+    return ranked(
+        lost.groupBy(F.col("_feature").alias("feature")).agg(
+            F.avg(loss).alias("importance"), F.stddev_pop(loss).alias("spread")
+        ),
+        "importance",
+        "feature",
+    )

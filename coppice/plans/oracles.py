@@ -41,6 +41,32 @@ def _quota_split(source: str, label: str, key: str, fraction: float = 0.7, seed:
         FROM ranked JOIN quotas USING ({label}))"""
 
 
+def _folds(source: str, label: str, key: str, folds: int, seed: int = 42) -> str:
+    """CTE ``folded``: the rows of ``source`` with their fold."""
+    return f"""
+    places AS (
+        SELECT *, count(*) OVER (PARTITION BY {label}) AS n,
+               row_number() OVER (PARTITION BY {label}
+                                  ORDER BY {_hash(seed, key)}, {key}) AS place
+        FROM {source}),
+    folded AS (
+        SELECT *, len([i FOR i IN range(1, {folds}) IF i * n // {folds} < place])::INT AS fold
+        FROM places)"""
+
+
+def _dictionary(order: str) -> str:
+    return f"""
+        WITH items AS (
+            SELECT l_orderkey, l_linenumber,
+                   CASE WHEN l_linenumber % 2 = 0 THEN trunc(l_quantity)::BIGINT
+                        ELSE l_partkey + 1000 END::VARCHAR AS label
+            FROM lineitem),
+        codes AS (
+            SELECT label, (row_number() OVER (ORDER BY {order}) - 1)::DOUBLE AS index
+            FROM items GROUP BY label)
+        SELECT l_orderkey, l_linenumber, label, index FROM items JOIN codes USING (label)"""
+
+
 LABELLED = "labelled AS (SELECT doc_id, quality FROM labels JOIN documents USING (doc_id))"
 HELDOUT = f"WITH {LABELLED}, {_quota_split('labelled', 'quality', 'doc_id')}"
 
@@ -140,6 +166,9 @@ ORACLES: dict[str, str] = {
     "stratified_split": f"""
         WITH {_quota_split("customer", "c_mktsegment", "c_custkey")}
         SELECT c_custkey, c_mktsegment, is_train FROM flagged""",
+    "stratified_folds": f"""
+        WITH {_folds("customer", "c_mktsegment", "c_custkey", 7)}
+        SELECT c_custkey, c_mktsegment, fold FROM folded""",
     "stratified_counts": f"""
         WITH {_quota_split("lineitem", "l_returnflag", "l_orderkey")}
         SELECT l_returnflag, quota::BIGINT AS n_train, (n - quota)::BIGINT AS n_heldout
@@ -161,6 +190,8 @@ ORACLES: dict[str, str] = {
             FROM customer GROUP BY c_mktsegment)
         SELECT c_custkey, c_mktsegment, segment_index
         FROM customer JOIN codes USING (c_mktsegment)""",
+    "label_dictionary_frequency": _dictionary("count(*) DESC, label"),
+    "label_dictionary_alpha": _dictionary("label"),
     "assembled_features": """
         SELECT l_orderkey, l_partkey, l_quantity AS slot_l_quantity,
                l_extendedprice AS slot_l_extendedprice, l_discount AS slot_l_discount,
@@ -312,6 +343,15 @@ ORACLES: dict[str, str] = {
                CASE quality WHEN 0 THEN 'poor' WHEN 1 THEN 'good' END AS actual_name,
                count(*) AS n, true AS beats_chance
         FROM flagged WHERE NOT is_train GROUP BY quality""",
+    "rejected_rows": """
+        WITH judged AS (
+            SELECT doc_id, concat_ws('; ',
+                CASE WHEN doc_id % 5 = 0 THEN 'null: n_chars' END,
+                CASE WHEN doc_id % 7 = 0 THEN 'not a number: n_words' END,
+                CASE WHEN doc_id % 11 = 0 THEN 'null: quality'
+                     WHEN doc_id % 3 = 0 THEN 'unknown: quality' END) AS reasons
+            FROM labels JOIN documents USING (doc_id))
+        SELECT doc_id, reasons, reasons = '' AS in_classes FROM judged""",
     "roc_versions": f"""{HELDOUT}
         SELECT unnest([1, 2])::BIGINT AS model_version, 0.0::DOUBLE AS first_fpr,
                1.0::DOUBLE AS last_tpr, true AS ties_combined,
@@ -345,6 +385,13 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, quality, true AS in_classes, true AS beats_constant
         FROM flagged WHERE NOT is_train""",
     "kernel_svc": f"{HELDOUT} {SCORED}",
+    "cross_validation": f"""
+        WITH {LABELLED}, {_folds("labelled", "quality", "doc_id", 3)}
+        SELECT doc_id, quality, fold, true AS in_classes, true AS beats_chance FROM folded""",
+    "permutation_ranking": " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, true AS noise_is_low, true AS some_matter"
+        for name in (*INPUTS, "noise")
+    ),
     "harness": f"""{HELDOUT}
         SELECT quality::DOUBLE AS y_test, count(*) AS n, true AS beats_constant
         FROM flagged WHERE NOT is_train GROUP BY quality""",

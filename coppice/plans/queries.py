@@ -24,6 +24,7 @@ from coppice.operators.rows import first_shuffled, latest_per_key, numbered, ran
 from coppice.operators.rows import preview as first_rows
 from coppice.operators.rows import shuffled as shuffled_table
 from coppice.operators.split import hash_split, sides
+from coppice.operators.split import stratified_folds as folds_by_class
 from coppice.operators.split import stratified_split as split_by_class
 from coppice.operators.weights import balanced_weights as with_balanced_weights
 from coppice.plans import jobs
@@ -146,6 +147,11 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_by_class(customers, "c_mktsegment", ["c_custkey"], fraction=0.7, seed=42)
 
 
+def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return folds_by_class(customers, "c_mktsegment", ["c_custkey"], 7)
+
+
 def stratified_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys repeat here, so cut points fall inside groups of rows with one key."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
@@ -179,6 +185,24 @@ def label_index_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _label_index(spark, sf_dir, "alphabetAsc")
 
 
+def _part_index(spark: SparkSession, sf_dir: str, order: str) -> DataFrame:
+    """Many labels, some of them frequent: the quantity for half of the rows, else the part."""
+    items = table(spark, sf_dir, "lineitem")
+    label = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity").cast("int")).otherwise(
+        F.col("l_partkey") + 1000
+    )
+    rows = items.select("l_orderkey", "l_linenumber", label.cast("string").alias("label"))
+    return feat.with_label_index(rows, feat.label_dictionary(rows, "label", order), "label", "index")
+
+
+def label_dictionary_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_index(spark, sf_dir, "frequencyDesc")
+
+
+def label_dictionary_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_index(spark, sf_dir, "alphabetAsc")
+
+
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *MEASURES)
     slots = feat.vector_slots(feat.FEATURES, [f"slot_{m}" for m in MEASURES])
@@ -656,6 +680,31 @@ def _score_batch(
     )
 
 
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that cannot be scored, with the reasons, beside those that were, from one pass."""
+    registry, _ = _train_shapes(spark, sf_dir, DOCUMENT_FOREST.but(trees=2, depth=2))
+    every = lambda n: F.pmod(F.col("doc_id"), F.lit(n)) == 0
+    broken = TableRef(path=scratch_path(spark, "broken"))
+    broken.write(
+        _shape_table(spark, sf_dir)
+        .read(spark)
+        .withColumns(
+            {
+                "n_chars": F.when(every(5), None).otherwise(F.col("n_chars")),
+                "n_words": F.when(every(7), float("nan")).otherwise(F.col("n_words")),
+                LABEL: F.when(every(11), None).when(every(3), 9).otherwise(F.col(LABEL)),
+            }
+        )
+    )
+    sink = jobs.outcome_table(scratch_path(spark, "outcomes"))
+    found = jobs.score_or_reject(spark, broken, sink, registry, MODEL, STAGE, truth=True)
+    accepted = found.accepted.select("doc_id", F.lit("").alias("reasons"), _in_classes())
+    rejected = found.rejected.select(
+        "doc_id", F.array_join("reasons", "; ").alias("reasons"), F.lit(False).alias("in_classes")
+    )
+    return accepted.unionByName(rejected)
+
+
 def roc_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ROC curves of two versions that code the classes in other orders, from one history."""
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
@@ -778,6 +827,32 @@ def harness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("y_test", "n", _beats_constant(scored))
 
 
+def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = _shape_table(spark, sf_dir).read(spark)
+    estimator = learner("logistic", DOCUMENT_LINEAR, feat.INDEXED_FEATURES)
+    scored, accuracy = jobs.cross_validate(
+        shapes, estimator, INPUTS, LABEL, KEYS, DOCUMENT_LINEAR, folds=3
+    )
+    better = accuracy.select("fold", (F.col("accuracy") > 0.5).alias("beats_chance"))
+    return scored.select("doc_id", LABEL, "fold", _in_classes()).join(better, "fold")
+
+
+def permutation_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of hashes beside the document shapes; only its rank is certain."""
+    noise = (F.crc32(F.col("doc_id").cast("string")) / float(1 << 32)).alias("noise")
+    shapes = _shape_table(spark, sf_dir).read(spark).select("*", noise)
+    inputs = [*INPUTS, "noise"]
+    settings = DOCUMENT_FOREST.but(trees=20, depth=4)
+    model = jobs.fit(shapes, inputs, LABEL, jobs.tabular_pipeline(inputs, LABEL, settings), settings)
+    found = jobs.permutation_importance(model, shapes, inputs, KEYS)
+    best = found.agg(F.max("importance")).first()[0]
+    return found.select(
+        "feature",
+        ((F.col("feature") != "noise") | (F.col("importance") < best / 4)).alias("noise_is_low"),
+        F.lit(best > 0.02).alias("some_matter"),
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, score and evaluate on document quality; the long confusion matrix."""
     registry, heldout = _train_shapes(spark, sf_dir, DOCUMENT_FOREST)
@@ -801,9 +876,12 @@ QUERIES: dict[str, Query] = {
     "default_split": default_split,
     "stratified_split": stratified_split,
     "stratified_counts": stratified_counts,
+    "stratified_folds": stratified_folds,
     "heldout_roundtrip": heldout_roundtrip,
     "label_index_frequency": label_index_frequency,
     "label_index_alpha": label_index_alpha,
+    "label_dictionary_frequency": label_dictionary_frequency,
+    "label_dictionary_alpha": label_dictionary_alpha,
     "assembled_features": assembled_features,
     "categorical_slots": categorical_slots,
     "token_counts": token_counts,
@@ -836,6 +914,7 @@ QUERIES: dict[str, Query] = {
     "feature_ranking": feature_ranking,
     "evaluate_job": evaluate_job,
     "evaluate_history": evaluate_history,
+    "rejected_rows": rejected_rows,
     "roc_versions": roc_versions,
     "append_again": append_again,
     "evaluate_increment": evaluate_increment,
@@ -844,4 +923,6 @@ QUERIES: dict[str, Query] = {
     "linear_svc": linear_svc,
     "kernel_svc": kernel_svc,
     "harness": harness,
+    "cross_validation": cross_validation,
+    "permutation_ranking": permutation_ranking,
 }
