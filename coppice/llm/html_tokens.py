@@ -14,6 +14,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
+_DIGITS = re.compile(r"\d+")
 _NAME_PART = re.compile(r"[a-z]+|\d+")
 
 # Element names of the HTML standard.
@@ -60,7 +61,9 @@ def _element(name: str, attributes: str, inside: list[_Element]) -> _Element:
     for m in _ATTRIBUTE.finditer(attributes):
         found.setdefault(m[1].lower(), unescape((m[2] or "").strip("\"'")))
     names = f"{found.get('class', '')} {found.get('id', '')}".lower()
-    label = ".".join([name, *sorted(set(names.split()))])
+    # Ids that count pages or paragraphs would make every path a path of its own.
+    shown = f"{found.get('class', '')} {_DIGITS.sub('#', found.get('id', ''))}".lower()
+    label = ".".join([name, *sorted(set(shown.split()))])
     in_content = any(e.name in CONTENT for e in inside)
     boilerplate = (
         name in BOILERPLATE
