@@ -123,17 +123,39 @@ WITH turns AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, part) AS k
     FROM turns
   ) WHERE k = 1
-), ranked AS (
-  SELECT conv_id, row_number() OVER (ORDER BY role, text, conv_id) - 1 AS r FROM openings
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY role, text ORDER BY conv_id) - 1 AS k FROM openings
 ), pairs AS (
-  SELECT a.r // 2 AS pair_id, a.conv_id AS chosen_id, b.conv_id AS rejected_id
-  FROM ranked a JOIN ranked b ON b.r = a.r + 1 WHERE a.r % 2 = 0
+  SELECT a.conv_id AS chosen_id, b.conv_id AS rejected_id
+  FROM numbered a JOIN numbered b ON a.role = b.role AND a.text = b.text AND b.k = a.k + 1
+  WHERE a.k % 2 = 0
+), replies AS (
+  SELECT conv_id, turn, part, text FROM turns
+  WHERE role = 'assistant'
+    AND conv_id NOT IN (SELECT chosen_id FROM pairs UNION ALL SELECT rejected_id FROM pairs)
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, part DESC) = 1
+), ordered AS (
+  SELECT *, row_number() OVER (ORDER BY conv_id) AS r, count(*) OVER () AS n FROM replies
+), derived AS (
+  SELECT a.conv_id, a.turn AS last_turn, a.part AS last_part, b.conv_id AS rejected_id, b.text AS reply
+  FROM ordered a JOIN ordered b ON b.r = CASE WHEN a.r < a.n THEN a.r + 1 ELSE a.n - 1 END
+), before AS (
+  SELECT conv_id AS chosen_id, rejected_id, turn, part, role, text,
+    turn IS NOT DISTINCT FROM last_turn AND part = last_part AS is_last
+  FROM derived JOIN turns USING (conv_id)
+  WHERE (coalesce(turn, -9223372036854775808), part)
+    <= (coalesce(last_turn, -9223372036854775808), last_part)
 ), placed AS (
-  SELECT pair_id, chosen_id, rejected_id, side, turn, part, role, text
-  FROM (
-    SELECT *, 'chosen' AS side, chosen_id AS conv_id FROM pairs
-    UNION ALL SELECT *, 'rejected', rejected_id FROM pairs
-  ) JOIN turns USING (conv_id)
+  SELECT chosen_id AS pair_id, * FROM (
+    SELECT chosen_id, rejected_id, 'chosen' AS side, turn, part, role, text
+    FROM pairs JOIN turns ON conv_id = chosen_id
+    UNION ALL
+    SELECT chosen_id, rejected_id, 'rejected', turn, part, role, text
+    FROM pairs JOIN turns ON conv_id = rejected_id
+    UNION ALL SELECT chosen_id, rejected_id, 'chosen', turn, part, role, text FROM before
+    UNION ALL SELECT chosen_id, rejected_id, 'rejected', turn, part, role, text FROM before WHERE NOT is_last
+    UNION ALL SELECT conv_id, rejected_id, 'rejected', last_turn, last_part, 'assistant', reply FROM derived
+  )
 ), forks AS (
   SELECT pair_id, min((coalesce(turn, -9223372036854775808), part)) AS fork FROM (
     SELECT pair_id, turn, part FROM placed GROUP BY ALL

@@ -59,7 +59,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = stored(preference.clean_turns(table(spark, sf_dir, "conversations")), "turns")
-    return preference.preference_rows(turns, preference.pairs_by_opening(turns))
+    return preference.paired_rows(turns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,102 @@
+"""Pairs of conversations and the rows they are formatted to, against brute force and SQL."""
+
+from collections import Counter, defaultdict
+
+from coppice.llm import preference
+from coppice.llm.oracles import ORACLES
+from coppice.llm.queries import QUERIES
+from oracle import connect, differences
+
+SCHEMA = "conv_id long, turn long, role string, text string, part int, side string, pair_id int"
+
+
+def formatted(rows):
+    """All rows of the result from ``(conv_id, turn, role, text)``."""
+    turns = defaultdict(lambda: defaultdict(set))
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            turns[conv_id][(turn is not None, turn or 0)].add((role or "", text or ""))
+    convs = {
+        c: [((t[1] if t[0] else None), p + 1, *row) for t in sorted(by) for p, row in enumerate(sorted(by[t]))]
+        for c, by in turns.items()
+    }
+    openings = defaultdict(list)
+    for c in sorted(convs):
+        openings[convs[c][0][2:]].append(c)
+    pairs, paired = [], set()
+    for members in openings.values():
+        for chosen, rejected in zip(members[::2], members[1::2], strict=False):
+            pairs.append((chosen, rejected, convs[chosen], convs[rejected]))
+            paired |= {chosen, rejected}
+    replies = {}
+    for c in sorted(set(convs) - paired):
+        ends = [i for i, t in enumerate(convs[c]) if t[2] == "assistant"]
+        if ends:
+            replies[c] = ends[-1]
+    order = list(replies)
+    for c, other in zip(order, order[1:] + order[-2:-1], strict=False):
+        end = replies[c]
+        reply = (*convs[c][end][:3], convs[other][replies[other]][3])
+        pairs.append((c, other, convs[c][: end + 1], [*convs[c][:end], reply]))
+    out = Counter()
+    for chosen, rejected, one, two in pairs:
+        common = 0
+        while common < min(len(one), len(two)) and one[common] == two[common]:
+            common += 1
+        for segment, part in (("prompt", one[:common]), ("chosen", one[common:]), ("rejected", two[common:])):
+            for turn, at, role, text in part:
+                rendered = f"<|im_start|>{role}\n{text}<|im_end|>\n"
+                loss = segment != "prompt" and role == "assistant"
+                out[chosen, chosen, rejected, segment, turn, at, rendered, loss] += 1
+    return out
+
+
+def test_given_tables_have_prompts(spark, sf_dir):
+    for folder in (sf_dir, sf_dir.replace("0.01", "0.1")):
+        rows = spark.read.parquet(f"{folder}/conversations.parquet").collect()
+        got = Counter(tuple(r) for r in QUERIES["op5_preference"](spark, folder).collect())
+        assert got == formatted([tuple(r) for r in rows])
+        segments = Counter(r[3] for r in got.elements())
+        assert segments["prompt"] > segments["chosen"] > 0 and segments["rejected"] > 0
+
+
+ROWS = [
+    *[(c, t, "user assistant".split()[t % 2], f"{c % 3 if t < 2 else c} at {t}") for c in range(20) for t in range(4)],
+    (30, None, None, None), (30, 1, "assistant", "x"), (31, None, "", ""), (31, 1, "assistant", "x"),
+    (40, 0, "user", "alone"), (41, 0, "system", "s"), (41, 1, "assistant", "y"), (41, 1, "assistant", "y"),
+    (42, 0, "system", "t"), (42, 0, "assistant", "z"), (42, 3, "user", "late"), (None, 0, "assistant", "lost"),
+]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 7, "mine", 1) for r in rows], SCHEMA).repartition(4)
+
+
+def test_odd_rows_equal_brute_force_and_sql(spark, tmp_path):
+    for name, rows in (("odd", ROWS), ("empty", []), ("one", ROWS[-1:] + [(5, 0, "assistant", "x")])):
+        folder = tmp_path / name
+        table(spark, rows).drop("part", "side", "pair_id").coalesce(1).write.parquet(str(folder / "conversations.parquet"))
+        with connect(str(folder / "none")) as con:
+            con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{folder}/conversations.parquet/*.parquet')")
+            extra, missing = differences(con, QUERIES["op5_preference"](spark, str(folder)), ORACLES["op5_preference"])
+        assert not extra and not missing
+        got = preference.paired_rows(preference.clean_turns(table(spark, rows)))
+        assert Counter(tuple(r) for r in got.collect()) == formatted(rows)
+
+
+def test_a_conversation_in_front_changes_no_other_pair(spark):
+    def pairs(rows):
+        found = preference.paired_rows(preference.clean_turns(table(spark, rows)))
+        return {tuple(r) for r in found.select("chosen_id", "rejected_id").distinct().collect()}
+
+    before, after = pairs(ROWS), pairs([(-1, 0, "a first role", "and text"), (-1, 1, "assistant", "hm"), *ROWS])
+    assert len(after) == len(before) + 1 and before < after
+
+
+def test_very_long_and_hot_conversations(spark):
+    rows = [(c, 0, "user", "the same question") for c in range(300)]
+    rows += [(c, 1, "assistant", f"answer {c}") for c in range(300)]
+    rows += [(1000, t, "user assistant".split()[t % 2], f"turn {t}") for t in range(3001)]
+    rows += [(1001, 0, "user", "w " * 50_000), (1001, 1, "assistant", "short")]
+    got = preference.paired_rows(preference.clean_turns(table(spark, rows)))
+    assert Counter(tuple(r) for r in got.collect()) == formatted(rows)
