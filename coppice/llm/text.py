@@ -64,8 +64,8 @@ def without_rows(keyed: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
 
     The keys are written first: their exact size lets Catalyst broadcast few and shuffle many.
     """
-    keys = stored(dropped.select(F.col("_row").alias("_dropped")), "dropped")
-    return keyed.join(keys, F.col(key) == F.col("_dropped"), "left_anti").drop(key)
+    keys = stored(dropped.select(F.col("_row").alias(key)), "dropped")
+    return keyed.join(keys, key, "left_anti").drop(key)
 
 
 def beyond_first(members: DataFrame, group: list[str]) -> DataFrame:
