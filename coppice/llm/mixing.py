@@ -2,10 +2,11 @@
 
 The words of each source are counted, targets are derived from the weights, and a source's rate is
 its target by its size. Every document is emitted ``floor(rate)`` times, and once more if a draw
-seeded by the hash of its id falls below the fraction. Only built-in functions are used.
+seeded by the hash of its id and text falls below the fraction. Only built-in functions are used.
 
 Defined cases: a null text has no words; a null source is a source of its own, ranked last; a source
-without words has rate 0; rows that repeat a ``doc_id`` get the same draw; an empty table gives an
+without words has rate 0; rows that repeat a ``doc_id``, or have none, draw by their texts,
+and those that repeat both get the same draw; an empty table gives an
 empty mix. Other columns are carried along by :func:`mixed` and ignored by :func:`mix_plan`; columns
 whose names clash with the ones added are replaced in the plan only.
 """
@@ -78,8 +79,9 @@ def _product(a: Column, b: Column) -> Column:
 
 
 def draw(seed: int) -> Column:
-    """A number in [0, 1) from 32 bits of the hash of seed and id."""
-    key = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    """A number in [0, 1) from 32 bits of the hash of seed, id and text."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.concat(F.lit(f"{seed}|"), doc_id, F.lit("|"), F.md5(whole_text()))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 

@@ -9,7 +9,7 @@ _SPACE = r"[\x20\x09-\x0D]"
 
 MIXING = rf"""
 WITH sized AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS text_md5,
     len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size
   FROM documents
 ), sources AS (
@@ -36,7 +36,7 @@ rest AS (
 ), rates AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size::DOUBLE ELSE 0 END AS rate,
-    ('0x' || substr(md5('42|' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE
+    ('0x' || substr(md5('42|' || coalesce(doc_id::VARCHAR, '') || '|' || text_md5), 1, 8))::BIGINT::DOUBLE
       / 4294967296.0 AS draw
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
