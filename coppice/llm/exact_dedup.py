@@ -71,12 +71,16 @@ def _groups(rows: DataFrame) -> DataFrame:
 
 
 def _collided(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of digests that stand for several texts, joined to their groups by text."""
-    keep_ids = groups.select("_digest", "keep_id", "group_size")
-    keepers = rows.select("_digest", "_text", F.col("doc_id").alias("keep_id")).join(
-        keep_ids, ["_digest", "keep_id"]
+    """Rows of digests that stand for several texts, grouped again and joined by text."""
+    digests = groups.select("_digest").distinct()
+    part = rows.join(digests, "_digest")
+    by_salt = part.groupBy("_digest", "_salt", "_text").agg(
+        F.min("doc_id").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    by_text = by_salt.groupBy("_digest", "_text").agg(
+        F.min("_first").alias("keep_id"), F.sum("_n").alias("group_size")
     )
-    return rows.join(keepers.distinct(), ["_digest", "_text"])
+    return part.join(by_text, ["_digest", "_text"])
 
 
 def _result(carried: list[str]) -> list[Column]:
