@@ -226,15 +226,19 @@ class Model:
 def _examples(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings) -> DataFrame:
     """``(doc_id, text, toxic)`` of at most ``max_examples`` labelled rows outside the held-out part.
 
-    Only their ids are broadcast, which the bound keeps small; no text moves but theirs.
+    Only their ids are broadcast, which the bound keeps small; no text moves but theirs. An id has one
+    example, the least text and label of its rows, so that the bound holds where ids repeat, and an
+    example that is left out leaves no copy of its row.
     """
     usable = labels.filter(F.col("toxic").isin(0, 1) & ~held_out()).select(
         F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")
     )
     order = F.xxhash64(F.lit(settings.seed), F.col("_id"))
     chosen = stored(usable.orderBy(order, "_id", "toxic").limit(settings.max_examples), "examples")
-    joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return stored(joined.select("doc_id", whole_text().alias("text"), "toxic"), "example-texts")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    joined = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    least = joined.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("_least"))
+    return stored(least.select("doc_id", "_least.text", "_least.toxic"), "example-texts")
 
 
 def _terms(examples: DataFrame, settings: ToxicitySettings) -> list[tuple[str, int]]:
