@@ -94,9 +94,9 @@ def log_ratios(docs: DataFrame, good: DataFrame, settings: ResampleSettings) ->
     ids = good.select("doc_id").distinct().orderBy(order, "doc_id").limit(settings.max_target)
     marked = ids.select(F.col("doc_id").alias("_good"), F.lit(True).alias("is_target"))
     chosen = stored(marked, "targets")
-    flagged = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_good"), "left")
-    slim = flagged.select(F.col("text").cast("string").alias("text"), "is_target")
-    table = _counts(slim, settings.buckets).toPandas()  # one row per bucket at most
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    flagged = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("_good"), "left")
+    table = _counts(flagged.select("text", "is_target"), settings.buckets).toPandas()  # one row per bucket at most
     raw, target = np.zeros(settings.buckets), np.zeros(settings.buckets)
     raw[table["bucket"]], target[table["bucket"]] = table["raw"], table["target"]
     if not target.sum():
