@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from coppice.llm.shipping import with_package
 from coppice.llm.text import stored
 
-LIMIT = 4096
+LIMIT = 256
 
 
 def _split(nodes: list[int], parent: list[int], values: list[list[int]]) -> tuple:
