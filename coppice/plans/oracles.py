@@ -299,6 +299,11 @@ ORACLES: dict[str, str] = {
                coalesce(bought_id, first_id)::VARCHAR AS run_id,
                'models/' || coalesce(bought_id, first_id) AS source
         FROM models""",
+    "stage_history": f"""
+        WITH {USER_MODELS}
+        SELECT commit::INT AS commit, name,
+               (CASE WHEN commit = 2 AND bought_id IS NOT NULL THEN 2 ELSE 1 END)::BIGINT AS version
+        FROM models, (SELECT unnest([1, 2, 3]) AS commit)""",
     "concurrent_versions": """
         SELECT 'user-' || user_id AS name,
                string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS writers,

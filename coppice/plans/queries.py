@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -389,6 +390,22 @@ def version_at_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.at_stage()
 
 
+def stage_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version at Staging after each of three commits of stage changes."""
+    registry, everyone, buyers = _user_models(spark, sf_dir)
+    registry.register(everyone)
+    registry.register(buyers)
+    one, two = F.lit(1).alias("version"), F.lit(2).alias("version")
+    registry.set_stages(everyone.select("name", one, F.lit(STAGE).alias("stage")))
+    registry.set_stages(buyers.select("name", two, F.lit(STAGE).alias("stage")))
+    registry.set_stages(buyers.select("name", two, F.lit("Production").alias("stage")))
+    past = [
+        registry.at_stage(n).filter(F.col("stage") == STAGE).select(F.lit(n).alias("commit"), "name", "version")
+        for n in (1, 2, 3)
+    ]
+    return reduce(DataFrame.unionByName, past)
+
+
 def concurrent_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One writer per event type, all at once, each registering its users' models."""
     events = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
@@ -902,6 +919,7 @@ QUERIES: dict[str, Query] = {
     "register_version": register_version,
     "stage_change": stage_change,
     "version_at_stage": version_at_stage,
+    "stage_history": stage_history,
     "concurrent_versions": concurrent_versions,
     "run_params": run_params,
     "run_metrics": run_metrics,

@@ -12,6 +12,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,18 +187,27 @@ class ModelRegistry:
             raise VersionNotFound(f"no version {version} of model {name!r}")
         self.set_stages(self._single(name=name, version=version, stage=stage))
 
-    def current_stages(self) -> DataFrame:
-        """The latest stage of each version, ``(name, version, stage)``."""
-        events = self._read("model_stages")
+    def stage_commit(self, moment: datetime) -> int:
+        """The last commit of stage changes at or before ``moment``."""
+        return self._log_of("model_stages").number_at(moment)
+
+    def current_stages(self, commit: int | None = None) -> DataFrame:
+        """The latest stage of each version, ``(name, version, stage)``, or that after ``commit``."""
+        events = self._read("model_stages", commit)
         return latest_per_key(events, ["name", "version"], [F.desc("seq")]).drop("seq")
 
-    def at_stage(self) -> DataFrame:
-        """The highest version of each model at each stage, with its run and source."""
-        staged = self.current_stages().join(self.versions(), ["name", "version"])
+    def at_stage(self, commit: int | None = None) -> DataFrame:
+        """The highest version of each model at each stage, with its run and source.
+
+        ``commit`` looks at the stages as that commit of stage changes left them.
+        """
+        staged = self.current_stages(commit).join(self.versions(), ["name", "version"])
         return latest_per_key(staged, ["name", "stage"], [F.desc("version")])
 
-    def lookup(self, name: str, stage: str) -> ModelVersion:
-        row = self.at_stage().filter(equals_all({"name": name, "stage": stage})).first()
+    def lookup(self, name: str, stage: str, at: datetime | None = None) -> ModelVersion:
+        """The highest version at a stage, now or at a past time."""
+        found = self.at_stage(None if at is None else self.stage_commit(at))
+        row = found.filter(equals_all({"name": name, "stage": stage})).first()
         if row is None:
             raise VersionNotFound(f"no version of model {name!r} at stage {stage!r}")
         return ModelVersion(**row.asDict())

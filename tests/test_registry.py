@@ -1,6 +1,8 @@
 """Model versions, stages, runs, and model files."""
 
+import time
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -233,3 +235,20 @@ def test_numbers_are_taken_by_rename_where_links_are_unknown(spark, tmp_path):
     assert [log.commit(1, ["a"]), log.commit(1, ["b"]), log.commit(2, ["b"])] == [True, False, True]
     assert log.snapshot().folders == ("a", "b")
     assert sorted(p.name for p in (tmp_path / "table/_commits").glob("[0-9_]*")) == [f"{n:020d}" for n in (1, 2)]
+
+
+def test_stages_at_a_past_time(registry):
+    moments = [datetime.now()]
+    registry.register_one("forest", "r1", "p1")
+    registry.register_one("forest", "r2", "p2")
+    for version, stage in ((1, "Staging"), (2, "Staging"), (2, "Production")):
+        registry.set_stage("forest", version, stage)
+        time.sleep(0.05)
+        moments.append(datetime.now())
+        time.sleep(0.05)
+    assert [registry.stage_commit(m) for m in moments] == [0, 1, 2, 3]
+    found = [registry.lookup("forest", "Staging", at=m).version for m in moments[1:]]
+    assert found == [1, 2, 1] and registry.lookup("forest", "Staging").version == 1
+    with pytest.raises(VersionNotFound):
+        registry.lookup("forest", "Staging", at=moments[0])
+    assert registry.at_stage(commit=1).count() == 1
