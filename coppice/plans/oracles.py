@@ -124,6 +124,22 @@ SCORED = """
 SELECT doc_id, quality, true AS in_classes, true AS prob_ok, true AS beats_constant
 FROM flagged WHERE NOT is_train"""
 
+STAGE_SPANS = """
+        WITH clicks AS (
+            SELECT user_id, event_id, ts,
+                ts + to_days(CAST(event_id % 5 AS INT)) AS moved,
+                ts + to_days(CAST(event_id % 5 + event_id % 7 AS INT)) AS gone
+            FROM events WHERE event_type = 'click'
+        ),
+        held AS (
+            SELECT user_id AS name, event_id AS version, 'Staging' AS stage, ts AS since, moved AS until
+            FROM clicks WHERE ts < moved
+            UNION ALL
+            SELECT user_id, event_id, 'Production', moved, gone FROM clicks WHERE moved < gone
+            UNION ALL
+            SELECT user_id, event_id, 'Archived', gone, NULL FROM clicks
+        )"""
+
 ORACLES: dict[str, str] = {
     "table_scan": "SELECT * FROM orders",
     "format_roundtrip": "SELECT * FROM orders",
@@ -299,6 +315,17 @@ ORACLES: dict[str, str] = {
                coalesce(bought_id, first_id)::VARCHAR AS run_id,
                'models/' || coalesce(bought_id, first_id) AS source
         FROM models""",
+    "stage_spans": f"""
+        {STAGE_SPANS}
+        SELECT name, version, stage, since, until FROM held""",
+    "version_as_of": f"""
+        {STAGE_SPANS}
+        SELECT p.event_id, s.stage, max(h.version) AS version
+        FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+        CROSS JOIN (VALUES ('Staging'), ('Production'), ('Archived')) s(stage)
+        LEFT JOIN held h ON h.name = p.user_id AND h.stage = s.stage
+            AND h.since <= p.ts AND (h.until IS NULL OR p.ts < h.until)
+        GROUP BY p.event_id, s.stage""",
     "stage_history": f"""
         WITH {USER_MODELS}
         SELECT commit::INT AS commit, name,

@@ -27,13 +27,14 @@ from coppice.operators.rows import shuffled as shuffled_table
 from coppice.operators.split import hash_split, sides
 from coppice.operators.split import stratified_folds as folds_by_class
 from coppice.operators.split import stratified_split as split_by_class
+from coppice.operators.timelines import as_of, spans
 from coppice.operators.weights import balanced_weights as with_balanced_weights
 from coppice.plans import jobs
 from coppice.plans.documents import INPUTS, KEYS, LABEL, labelled_hashes, labelled_shapes
 from coppice.plans.history import counts_table, evaluate_new_batches
 from coppice.settings import FULL_FOREST, SMALL_FOREST, TrainSettings
 from coppice.sources.models import load_contract, load_model, save_model
-from coppice.sources.registry import ModelRegistry
+from coppice.sources.registry import ModelRegistry, stage_timeline
 from coppice.sources.tables import TableRef
 from coppice.sources.workspace import scratch_path
 
@@ -406,6 +407,41 @@ def stage_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, past)
 
 
+def _moves(events: DataFrame) -> DataFrame:
+    """Stage changes ``(name, version, stage, seq, at)``: every click brings a version to Staging, and
+    moves it on to Production and Archived some days later, or at once."""
+    steps = """
+        inline(array(
+            named_struct('stage', 'Staging', 'seq', 1, 'at', ts),
+            named_struct('stage', 'Production', 'seq', 2,
+                         'at', ts + make_dt_interval(cast(event_id % 5 AS int))),
+            named_struct('stage', 'Archived', 'seq', 3,
+                         'at', ts + make_dt_interval(cast(event_id % 5 + event_id % 7 AS int)))))
+    """
+    clicks = events.filter("event_type = 'click'")
+    return clicks.select(
+        F.col("user_id").alias("name"), F.col("event_id").alias("version"), F.expr(steps)
+    )
+
+
+def version_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version at each stage of the user's model at the time of every purchase."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    stages = F.array(*[F.lit(s) for s in (STAGE, "Production", "Archived")])
+    asked = events.filter("event_type = 'purchase'").select(
+        "event_id", "ts", F.col("user_id").alias("name"), F.explode(stages).alias("stage")
+    )
+    timeline = stage_timeline(_moves(events)).withColumnRenamed("at", "since")
+    return as_of(asked, timeline, ["name", "stage"], "ts", "since").select("event_id", "stage", "version")
+
+
+def stage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How long every version of the users' models was at each stage."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    held = spans(_moves(events), ["name", "version"], "at", ["seq"])
+    return held.select("name", "version", "stage", "since", "until")
+
+
 def concurrent_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One writer per event type, all at once, each registering its users' models."""
     events = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
@@ -920,6 +956,8 @@ QUERIES: dict[str, Query] = {
     "stage_change": stage_change,
     "version_at_stage": version_at_stage,
     "stage_history": stage_history,
+    "stage_spans": stage_spans,
+    "version_as_of": version_as_of,
     "concurrent_versions": concurrent_versions,
     "run_params": run_params,
     "run_metrics": run_metrics,

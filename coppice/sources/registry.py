@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from coppice.functions.columns import equals_all
 from coppice.operators.rows import latest_per_key
+from coppice.operators.timelines import as_of, highest_over_time, spans
 from coppice.sources.commits import CommitLog, Snapshot
 
 SCHEMAS = {
@@ -54,6 +55,16 @@ class ModelVersion:
     stage: str | None = None
 
 
+def stage_timeline(changes: DataFrame) -> DataFrame:
+    """``(name, stage, at, version)`` from ``changes(name, version, stage, seq, at)``.
+
+    The highest version at the stage from each moment on, up to the next one of that name and stage;
+    null if the stage is empty then.
+    """
+    held = spans(changes, ["name", "version"], "at", ["seq"])
+    return highest_over_time(held, ["name", "stage"], "version")
+
+
 class ModelRegistry:
     def __init__(
         self, spark: SparkSession, root: str, fmt: str = "parquet", merge_after: int = MERGE_AFTER
@@ -212,6 +223,34 @@ class ModelRegistry:
             raise VersionNotFound(f"no version of model {name!r} at stage {stage!r}")
         return ModelVersion(**row.asDict())
 
+    def stage_changes(self) -> DataFrame:
+        """All stage changes with their time, ``(name, version, stage, seq, at)``.
+
+        The time is that of the commit; what a merge has put together is read where it was first.
+        """
+        schema = "_folder string, _millis bigint"
+        log, table = self._log_of("model_stages"), self._path("model_stages")
+        taken = [(folder, millis) for _, millis, folders in log.added() for folder in folders]
+        times = self.spark.createDataFrame(taken, schema)
+        rows = self._rows("model_stages", Snapshot(0, tuple(folder for folder, _ in taken), 0))
+        if not taken:
+            return rows.withColumn("at", F.lit(None).cast("timestamp"))
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "(rows=[0-9a-f]+)/[^/]*$", 1)
+        timed = rows.withColumn("_folder", folder).join(times, "_folder")
+        return timed.withColumn("at", F.timestamp_millis("_millis")).drop("_folder", "_millis")
+
+    def stage_timeline(self) -> DataFrame:
+        """``(name, stage, at, version)``: the version that a lookup finds from each moment on."""
+        return stage_timeline(self.stage_changes())
+
+    def versions_as_of(self, rows: DataFrame, at: str) -> DataFrame:
+        """``rows(name, stage, …)`` with the ``version`` that a lookup found at the time in ``at``.
+
+        Null where no version was at the stage then.
+        """
+        timeline = self.stage_timeline().withColumnRenamed("at", "_since")
+        return as_of(rows, timeline, ["name", "stage"], at, "_since")
+
     # Runs
 
     def log_params(self, params: DataFrame) -> None:
