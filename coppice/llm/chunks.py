@@ -2,11 +2,15 @@
 
 The gear hash of a byte adds a fixed number per byte value to the doubled hash before it; with 16 bits
 it depends on the last 16 bytes alone. A chunk ends where the top bits are zero and no such place
-lies within ``min_bytes`` before, so that boundaries depend on nearby content only: an insertion
-shifts no boundary beyond it. Longer stretches are cut every ``max_bytes``.
-
-Chunks are deduplicated by a 128-bit digest: the document with the smallest id keeps a chunk, the
-others repeat it. Neighbouring chunks of a document that also occur in other documents make up a
+lies within ``min_bytes`` before. Where ``max_bytes`` in a row have no such end, it is cut at the
+smallest hash of every window of that size, the last one of equals. So all boundaries depend on nearby
+content only: an insertion shifts none beyond it, and a passage has the same ones in every document
+but for its outer bytes. In periodic text, where each period has a smallest hash, every few periods
+are one chunk, equal wherever the counting began.
+
+Chunks are deduplicated by a 64-bit digest: the document with the smallest id keeps a chunk, the
+others repeat it. A passage is longer than a chunk, so one pair of chunks with equal digests by chance
+makes none. Neighbouring chunks of a document that also occur in other documents make up a
 passage, reported from ``min_passage`` bytes on.
 
 Defined cases: a null or empty text has no chunks; very long texts are chunked whole; rows that repeat
@@ -54,20 +58,49 @@ def boundaries(data: bytes, gear: np.ndarray, settings: ChunkSettings) -> list[i
     # hash[i] = sum of gear[i - k] << k: doubling the span four times gives all 16 terms.
     for span in (1, 2, 4, 8):
         values[span:] += values[:-span] << np.uint16(span)
-    marks = np.flatnonzero(values >> np.uint16(16 - settings.bits) == 0) + 1
+    marks = np.flatnonzero(values >> np.uint16(16 - settings.bits) == 0)
     if len(marks):
         marks = marks[np.diff(marks, prepend=-settings.min_bytes) >= settings.min_bytes]
-    ends, at = [], 0
-    for mark in [*marks.tolist(), len(data)]:
-        ends.extend(range(at + settings.max_bytes, mark, settings.max_bytes))
-        if mark > at:
-            ends.append(mark)
-        at = mark
-    return ends
+    ends = np.union1d(marks, _smallest(values, marks, settings)) + 1
+    if not len(ends) or ends[-1] != len(data):
+        ends = np.append(ends, len(data))
+    return ends.tolist()
+
+
+def _smallest(values: np.ndarray, marks: np.ndarray, settings: ChunkSettings) -> np.ndarray:
+    """Where the smallest hash lies in each window of ``max_bytes`` that has no mark."""
+    size, count = settings.max_bytes, len(values)
+    windows = count - size + 1
+    if windows < 1:
+        return np.empty(0, dtype=np.int64)
+    marked = np.zeros(count + 1, dtype=np.int64)
+    marked[marks + 1] = 1
+    marked = np.cumsum(marked)
+    free = marked[size:] == marked[:windows]
+    # The place counts backwards in the low half: of equal hashes the last one is the smallest.
+    keys = (values.astype(np.uint64) << np.uint64(32)) + np.arange(count, 0, -1, dtype=np.uint64)
+    span = 1
+    while span < size:  # the smallest key of twice as many, and in the end of exactly ``size``
+        step = min(span, size - span)
+        keys = np.minimum(keys[:-step], keys[step:])
+        span += step
+    places = count - np.unique(keys[free] & np.uint64(0xFFFFFFFF)).astype(np.int64)[::-1]
+    if len(places) < 2:
+        return places
+    # Runs of equal hashes at equal distances under min_bytes: one place in every few stays.
+    apart = np.diff(places)
+    follows = (np.diff(values[places].astype(np.int64)) == 0) & (apart < settings.min_bytes)
+    follows[1:] &= ~follows[:-1] | (apart[1:] == apart[:-1])
+    starts = np.flatnonzero(~np.concatenate([[False], follows]))
+    lengths = np.diff(starts, append=len(places))
+    in_run = np.arange(len(places)) - np.repeat(starts, lengths)
+    first_apart = np.append(apart, settings.min_bytes)[starts]
+    every = np.where(lengths > 1, -(-settings.min_bytes // first_apart), 1)
+    return places[in_run % np.repeat(every, lengths) == 0]
 
 
 def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
-    """``(doc_id, row, start, n_bytes, high, low)``: every chunk with the halves of its digest.
+    """``(doc_id, row, start, n_bytes, digest)``: every chunk with its digest.
 
     Offsets count UTF-8 bytes.
     """
@@ -84,23 +117,21 @@ def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataF
                 ends = boundaries(data, gear, settings)
                 begins = [0, *ends[:-1]]
                 digests += [
-                    xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(begins, ends, strict=True)
+                    xxhash.xxh3_64_digest(data[a:b]) for a, b in zip(begins, ends, strict=True)
                 ]
                 ids += [doc_id] * len(ends)
                 rows += [row] * len(ends)
                 starts += begins
                 sizes += [b - a for a, b in zip(begins, ends, strict=True)]
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(rows, pa.int64()),
                     pa.array(starts, pa.int32()),
                     pa.array(sizes, pa.int32()),
-                    pa.array(halves[:, 0], pa.int64()),
-                    pa.array(halves[:, 1], pa.int64()),
+                    pa.array(np.frombuffer(b"".join(digests), dtype="<i8"), pa.int64()),
                 ],
-                ["doc_id", "row", "start", "n_bytes", "high", "low"],
+                ["doc_id", "row", "start", "n_bytes", "digest"],
             )
 
     slim = docs.filter(F.col("doc_id").isNotNull()).select(
@@ -108,7 +139,7 @@ def chunked(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataF
         F.monotonically_increasing_id().alias("row"),
         F.col("text").cast("string").alias("text"),
     )
-    schema = "doc_id long, row long, start int, n_bytes int, high long, low long"
+    schema = "doc_id long, row long, start int, n_bytes int, digest long"
     return with_package(slim).mapInArrow(run, schema)
 
 
@@ -120,21 +151,21 @@ def shared_chunks(chunks: DataFrame, salts: int = SALTS) -> DataFrame:
     """
     firsts = (
         chunks.withColumn("_salt", salt(salts))
-        .groupBy("high", "low")
+        .groupBy("digest")
         .agg(
             F.min("doc_id").alias("first_doc_id"),
             F.max("doc_id").alias("_last"),
             salts_seen("_salt").alias("_salts"),
         )
         .filter(F.col("first_doc_id") < F.col("_last"))
-        .select("high", "low", "first_doc_id", each_salt("_salts", salts).alias("_salt"))
+        .select("digest", "first_doc_id", each_salt("_salts", salts).alias("_salt"))
     )
     # The salt goes into the digest: one column less in the rows that move.
-    salted_low = F.col("low").bitwiseXOR(F.col("_salt").cast("long")).alias("low")
-    placed = firsts.select("high", salted_low, "first_doc_id")
-    kept = [F.col(c) for c in ("doc_id", "row", "start", "n_bytes", "high")]
-    spread = chunks.withColumn("_salt", salt(salts)).select(*kept, salted_low)
-    return spread.join(placed, ["high", "low"]).drop("high", "low")
+    salted = F.col("digest").bitwiseXOR(F.col("_salt").cast("long")).alias("digest")
+    placed = firsts.select(salted, "first_doc_id")
+    kept = [F.col(c) for c in ("doc_id", "row", "start", "n_bytes")]
+    spread = chunks.withColumn("_salt", salt(salts)).select(*kept, salted)
+    return spread.join(placed, "digest").drop("digest")
 
 
 def repeated_passages(docs: DataFrame, settings: ChunkSettings = ChunkSettings()) -> DataFrame:
