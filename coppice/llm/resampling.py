@@ -1,9 +1,11 @@
 """Quality selection by importance resampling over hashed n-grams.
 
 Two bag-of-n-grams models are counted over a fixed number of hash buckets: one of target text (rows
-labelled good), one of all raw text. A document's log importance is the sum of the log ratios of its
-n-grams. Adding Gumbel noise seeded by the hash of the id and keeping the k largest keys samples k
-documents without replacement in proportion to their importance.
+labelled good), one of all raw text. A document's log importance is the mean
+log ratio of its n-grams, divided by ``temperature``: a sum over all n-grams spreads so widely with
+length that noise would decide nothing. Adding Gumbel noise seeded by the hash of the id and keeping
+the k largest keys samples k documents without replacement in proportion to their importance; a lower
+temperature comes nearer to the k heaviest, a higher one nearer to chance.
 
 Raw counts cover every document. The target model may come from at most ``max_target`` labelled rows,
 chosen by the hash of their ids; only their ids are broadcast, which that bound keeps small.
@@ -34,11 +36,15 @@ _DOCS_AT_ONCE = 256
 
 @dataclass(frozen=True)
 class ResampleSettings:
-    """``share`` of the documents is kept; ``buckets`` is a power of two."""
+    """``share`` of the documents is kept; ``buckets`` is a power of two.
+
+    ``temperature`` is in nats per n-gram.
+    """
 
     share: float = 0.9
     buckets: int = 1 << 16
     smoothing: float = 1.0
+    temperature: float = 0.1
     max_target: int = 20_000
     seed: int = 42
 
@@ -109,15 +115,17 @@ def log_ratios(docs: DataFrame, good: DataFrame, settings: ResampleSettings) ->
     return logs(target) - logs(raw)
 
 
-def weighed(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+def log_weight(text: str, ratios: np.ndarray, temperature: float) -> float:
+    found = ratios[ngram_buckets(text, len(ratios))]
+    return float(found.mean()) / temperature if len(found) else 0.0
+
+
+def weighed(docs: DataFrame, ratios: np.ndarray, temperature: float) -> DataFrame:
     """``(doc_id, log_weight)``: the log importance of every document."""
-    buckets = len(ratios)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [
-                float(ratios[ngram_buckets(t.as_py() or "", buckets)].sum()) for t in batch.column(1)
-            ]
+            values = [log_weight(t.as_py() or "", ratios, temperature) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values, pa.float64())], ["doc_id", "log_weight"]
             )
@@ -131,7 +139,8 @@ def resampled(
 ) -> DataFrame:
     """``(doc_id, log_weight, key, selected)`` for every document."""
     # Written first: the sampling of ranges would score every text a second time.
-    weights = stored(weighed(docs, log_ratios(docs, good, settings)), "weights")
+    ratios = log_ratios(docs, good, settings)
+    weights = stored(weighed(docs, ratios, settings.temperature), "weights")
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     seeded = F.concat(F.lit(f"{settings.seed}|"), doc_id)
     number = F.conv(F.substring(F.md5(seeded), 1, 12), 16, 10).cast("double")
